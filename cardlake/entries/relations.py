@@ -233,12 +233,10 @@ def _monthly(lake):
     )
 
 
-HISTORY = Window.partitionBy("transaction_currency").orderBy("year", "month")
-
-
 @query("window_lag")
 def window_lag(lake):
-    return _monthly(lake).withColumn("previous", F.lag("spend").over(HISTORY))
+    history = Window.partitionBy("transaction_currency").orderBy("year", "month")
+    return _monthly(lake).withColumn("previous", F.lag("spend").over(history))
 
 
 @query("window_mom_change")

@@ -46,5 +46,12 @@ def dense_key(df: DataFrame, order: Sequence[Column], name: str, start: int = 1)
 
 
 def ordinal_by_number(df: DataFrame, id_column: str, name: str) -> DataFrame:
-    """Number entities 1, 2, … by their numeric id (ids that are no number come first)."""
-    return dense_key(df, [F.col(id_column).try_cast("bigint"), F.col(id_column)], name)
+    """Number entities 1, 2, … by their numeric id (ids that are no number come first).
+
+    Only the distinct ids are numbered, so an id that many rows share stays one row there and
+    all its rows get the same number.
+    """
+    ids = df.select(F.col(id_column).alias("_id")).distinct()
+    numbered = dense_key(ids, [F.col("_id").try_cast("bigint"), F.col("_id")], name)
+    same = F.col(id_column).eqNullSafe(F.col("_id"))
+    return df.join(numbered, same).select(name, *df.columns)

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from cardlake.sources.shared import settle
 
 _SOURCE_STRIDE = 1 << 40
+# Characters of an entry that a place in a text must match before longer pieces are compared.
+_BEGINNING = 4
 
 
 def combine_dictionaries(*dictionaries: DataFrame) -> DataFrame:
@@ -41,30 +43,41 @@ def constant_dictionary(spark, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     return spark.createDataFrame(rows, "old string, new string, rank bigint")
 
 
-def _substrings(text: Column, lengths: Column) -> Column:
-    """Every distinct substring of the given lengths."""
+def _beginnings(dictionary: DataFrame, start: Column) -> DataFrame:
+    """Beginnings of entries with the lengths of the entries that begin so."""
+    found = dictionary.groupBy(F.left("old", start).alias("beginning"))
+    return found.agg(F.collect_set(F.length("old")).alias("lengths"))
 
-    def of_length(n: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.length(text) - n + 1)
-        return F.transform(starts, lambda at: F.substring(text, at, n))
 
-    fitting = F.filter(lengths, lambda n: n <= F.length(text))
-    return F.array_distinct(F.flatten(F.transform(fitting, of_length)))
+def _entries_in(texts: DataFrame, dictionary: DataFrame, beginnings: DataFrame) -> DataFrame:
+    """(text, entry) for every dictionary entry that occurs in one of the text's ``forms``.
 
-
-def _entries_in(texts: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """(text, entry) for every dictionary entry that occurs in one of the text's ``forms``."""
-    lengths = dictionary.agg(F.collect_set(F.length("old")).alias("lengths")).scalar()
+    Places of a form are first matched with the short table of entry beginnings, which also tells
+    the lengths to look at; only the substrings left are matched with the dictionary itself. Both
+    tables are read from files, so Spark knows their sizes and broadcasts them only if small.
+    """
+    start = _start(dictionary)
+    form, at = F.col("form"), F.col("at")
+    places = (
+        texts.select("text", F.explode("forms").alias("form"))
+        .select("text", "form", F.explode(F.sequence(F.lit(1), F.length(form))).alias("at"))
+        .withColumn("beginning", F.substring(form, at, start))
+    )
     pieces = (
-        texts.select("text", F.explode("forms").alias("form"), lengths.alias("_lengths"))
-        .select("text", F.explode(_substrings(F.col("form"), F.col("_lengths"))).alias("old"))
-        .distinct()
+        places.join(beginnings, "beginning")
+        .select("text", "form", "at", F.explode("lengths").alias("n"))
+        .filter(at + F.col("n") - 1 <= F.length(form))
+        .select("text", F.substring(form, at, F.col("n")).alias("old"))
     )
     # Longest first, then by rank: the order in which entries are applied.
     entry = F.struct((-F.length("old")).alias("shortness"), "rank", "old", "new")
     return pieces.join(dictionary, "old").select("text", entry.alias("entry"))
 
 
+def _start(dictionary: DataFrame) -> Column:
+    return dictionary.agg(F.least(F.min(F.length("old")), F.lit(_BEGINNING))).scalar()
+
+
 def _apply(entries: Column, text: Column) -> Column:
     """All forms the text takes, from the original to the final one."""
 
@@ -85,7 +98,8 @@ def replacements_for(texts: DataFrame, dictionary: DataFrame) -> DataFrame:
     dictionary = settle(
         dictionary.filter(F.length("old") > 0).select("old", "new", "rank"), "dictionary"
     )
-    found = _entries_in(texts.withColumn("forms", F.array("text")), dictionary)
+    beginnings = settle(_beginnings(dictionary, _start(dictionary)), "beginnings")
+    found = _entries_in(texts.withColumn("forms", F.array("text")), dictionary, beginnings)
     while True:
         state = settle(
             found.groupBy("text")
@@ -95,9 +109,8 @@ def replacements_for(texts: DataFrame, dictionary: DataFrame) -> DataFrame:
         )
         known = state.select("text", F.explode("entries").alias("entry"))
         changed = state.filter(F.size("forms") > 1).select("text", "forms")
-        gained = settle(
-            _entries_in(changed, dictionary).join(known, ["text", "entry"], "left_anti"), "gained"
-        )
+        met = _entries_in(changed, dictionary, beginnings)
+        gained = settle(met.join(known, ["text", "entry"], "left_anti"), "gained")
         if gained.isEmpty():
             return state.select("text", F.element_at("forms", -1).alias("replaced"))
         found = known.unionByName(gained)

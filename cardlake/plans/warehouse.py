@@ -250,30 +250,40 @@ def check_constraints(
 ) -> DataFrame:
     """One row per declared constraint with the number of violating rows.
 
-    Column constraints of a table share one aggregate per checked key; a primary key also
-    counts its missing values. Foreign keys ignore missing values.
+    NOT NULL constraints of a table share one scan; a primary key also counts its missing values.
+    Foreign keys ignore missing values.
     """
     results = []
-    for table, kind, column, parent, parent_column in constraints:
-        source = tables[table]
-        if kind == "foreign_key":
-            lost = orphans(source, tables[parent], column, parent_column)
-            violations = lost.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("violations"))
-        else:
+    for table in dict.fromkeys(c[0] for c in constraints):
+        mine = [c[1:] for c in constraints if c[0] == table]
+        required = {c: F.count_if(F.isnull(F.col(c))) for kind, c, *_ in mine if kind == "not_null"}
+        if required:
+            results.append(_violations(tables[table], table, "not_null", required))
+        for kind, column, parent, parent_column in mine:
             key = F.col(column)
-            missing = F.count_if(F.isnull(key))
-            counted = {
-                "not_null": missing,
-                "unique": surplus_rows(key),
-                "primary_key": surplus_rows(key) + missing,
-            }[kind]
-            violations = source.agg(counted.alias("violations"))
-        results.append(
-            violations.select(
-                F.lit(table).alias("table_name"),
-                F.lit(kind).alias("kind"),
-                F.lit(column).alias("column_name"),
-                F.col("violations").cast("bigint").alias("violations"),
-            )
-        )
+            if kind == "unique":
+                counted = {column: surplus_rows(key)}
+            elif kind == "primary_key":
+                counted = {column: surplus_rows(key) + F.count_if(F.isnull(key))}
+            elif kind == "foreign_key":
+                counted = {column: F.coalesce(F.sum("rows"), F.lit(0))}
+            else:
+                continue
+            source = tables[table]
+            if kind == "foreign_key":
+                source = orphans(source, tables[parent], column, parent_column)
+            results.append(_violations(source, table, kind, counted))
     return reduce(DataFrame.unionByName, results)
+
+
+def _violations(source: DataFrame, table: str, kind: str, counted: Mapping) -> DataFrame:
+    """One row per column from one aggregate over ``source``."""
+    rows = F.array(
+        *(
+            F.struct(F.lit(c).alias("column_name"), n.cast("bigint").alias("violations"))
+            for c, n in counted.items()
+        )
+    )
+    return source.agg(rows.alias("rows")).select(
+        F.lit(table).alias("table_name"), F.lit(kind).alias("kind"), F.inline("rows")
+    )

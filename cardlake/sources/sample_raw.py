@@ -171,7 +171,9 @@ def sample_raw(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
         return sample_table(spark, sf_dir, name)
 
     if source in ("transactions", "clearing"):
-        base = table("lineitem").join(table("orders"), F.expr("l_orderkey = o_orderkey"))
+        # Both sides grow with the data. A shuffle join also spreads a file of one row group.
+        lines = table("lineitem").hint("shuffle_merge")
+        base = lines.join(table("orders"), F.expr("l_orderkey = o_orderkey"))
         if source == "transactions":
             base = base.join(table("part"), F.expr("l_partkey = p_partkey"))
     elif source in ("cards", "users"):

@@ -11,18 +11,17 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
-
 
 def shared_root(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="cardlake-")
-        spark.sparkContext.setCheckpointDir(_local_roots[app])
-    return _local_roots[app]
+    already = spark.sparkContext.getCheckpointDir()
+    if already:
+        return already.rstrip("/")
+    local = tempfile.mkdtemp(prefix="cardlake-")
+    spark.sparkContext.setCheckpointDir(local)
+    return spark.sparkContext.getCheckpointDir()
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
