@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cardlake.entries.lake import query
 from cardlake.functions import amounts, calendar
 from cardlake.operators import dedup, keys, quantiles
-from cardlake.operators.joins import null_safe_lookup, orphans
+from cardlake.operators.joins import blank_safe_lookup, orphans
 from cardlake.plans import marts, panels, warehouse
 
 
@@ -77,7 +77,7 @@ def join_null_safe_lookup(lake):
         F.concat_ws("/", "merchant_normalized", F.coalesce("city", F.lit("?"))).alias("place"),
     )
     pairs = [("merchant_normalized", "name"), ("city", "known_city")]
-    return null_safe_lookup(rows, lookup, pairs, ["place"])
+    return blank_safe_lookup(rows, lookup, pairs, ["place"])
 
 
 @query("join_left_anti")

@@ -4,6 +4,7 @@ except where the small side has a fixed size."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,11 +29,26 @@ def blank_if_null(columns: Sequence[str], prefix: str = "_k") -> list[Column]:
     return [F.coalesce(F.col(c), F.lit("")).alias(f"{prefix}{i}") for i, c in enumerate(columns)]
 
 
-def null_safe_lookup(
+def blank_safe_lookup(
     left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], take: Sequence[str]
 ) -> DataFrame:
-    """Left join on text columns where NULL matches NULL (and '')."""
+    """Left join on text columns where a missing value and '' are the same.
+
+    ``right`` must be unique in that sense, or rows of ``left`` multiply.
+    """
     marks = [f"_k{i}" for i in range(len(pairs))]
     lhs = left.select("*", *blank_if_null([a for a, _ in pairs]))
     rhs = right.select(*blank_if_null([b for _, b in pairs]), *take)
     return lhs.join(rhs, marks, "left").drop(*marks)
+
+
+def null_safe_lookup(
+    left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], take: Sequence[str]
+) -> DataFrame:
+    """Left join on columns where NULL matches NULL and nothing else."""
+    rhs = right.select(*(F.col(b).alias(f"_k{i}") for i, (_, b) in enumerate(pairs)), *take)
+    same = reduce(
+        lambda a, b: a & b,
+        (left[name].eqNullSafe(F.col(f"_k{i}")) for i, (name, _) in enumerate(pairs)),
+    )
+    return left.join(rhs, same, "left").select(*left.columns, *take)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cardlake.functions import calendar
 from cardlake.operators.dedup import one_per_key, surplus_rows
 from cardlake.operators.joins import null_safe_lookup, orphans
-from cardlake.operators.keys import dense_key
+from cardlake.operators.keys import dense_key, number_by_id
 from cardlake.sources.datasets import load_columns
 
 # Target column → curated column.
@@ -183,7 +183,8 @@ def fact_transactions(
         "date_key",
         *FACT_MEASURES,
     )
-    return dense_key(rows, [F.col("transaction_id").asc_nulls_first()], "transaction_key")
+    ids = transactions.select(F.col("id").alias("transaction_id"))
+    return number_by_id(rows, ids, "transaction_id", "transaction_key")
 
 
 def fact_clearing(clearing: DataFrame, transactions: DataFrame) -> DataFrame:
@@ -200,7 +201,8 @@ def fact_clearing(clearing: DataFrame, transactions: DataFrame) -> DataFrame:
         "approval_code",
         *(c for c in CLEARING_COLUMNS if c not in ("clearing_id", "transaction_id")),
     )
-    return dense_key(ordered, [F.col("clearing_id").asc_nulls_first()], "clearing_key")
+    ids = clearing.select(F.col("transaction_id").alias("clearing_id"))
+    return number_by_id(ordered, ids, "clearing_id", "clearing_key")
 
 
 def lay_out_fact(

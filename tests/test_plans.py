@@ -71,6 +71,18 @@ def test_fact_does_not_multiply_rows(lake):
     assert lake.star("fact_clearing").count() == lake.curated("clearing").count()
 
 
+def test_missing_and_blank_cities_are_two_merchants(spark, lake):
+    """A merchant known with a blank and with a missing city must not double its transactions."""
+    rows = lake.curated("transactions").withColumn(
+        "merchant_city",
+        F.when(F.col("mcc") < "5020", "").when(F.col("mcc") < "5035", F.col("merchant_city")),
+    ).withColumn("mcc", F.lit("5000"))
+    dims = [lake.star(d) for d in ("dim_cards", "dim_organizations")]
+    fact = warehouse.resolve_keys(rows, *dims, warehouse.dim_merchants(rows))
+    assert fact.count() == rows.count()
+    assert fact.filter("merchant_key IS NULL").count() == 0
+
+
 def test_merchants_keep_their_keys(lake):
     transactions = lake.curated("transactions")
     first = warehouse.dim_merchants(transactions.filter("year < '1997'"))
