@@ -81,8 +81,6 @@ GATE = {
     "negative_settled_amounts": "transactions_positive_settled_amount",
 }
 
-RESULT_COLUMNS = ("rule", "table_name", "violations", "undecided", "checked", "passed")
-
 
 def _holds(rule: Rule) -> Column:
     """Row condition of a rule; NULL where the value is missing."""
@@ -98,11 +96,17 @@ def _holds(rule: Rule) -> Column:
     raise ValueError(f"unknown kind of rule: {rule.kind}")
 
 
-def _counts(rule: Rule) -> dict[str, Column]:
-    """Aggregates of a rule that needs only its own table."""
+def _counts(rule: Rule, tables: Mapping[str, DataFrame]) -> dict[str, Column]:
+    """Aggregates of a rule over its own table; orphans come as a scalar subquery."""
+    value = F.col(rule.column)
     applies = F.expr(rule.where) if rule.where else F.lit(True)
     if rule.kind == "unique":
-        violations, undecided = surplus_rows(F.col(rule.column)), F.lit(0)
+        violations, undecided = surplus_rows(value), F.lit(0)
+    elif rule.kind == "reference":
+        parent, parent_key = rule.args
+        lost = orphans(tables[rule.table], tables[parent], rule.column, parent_key)
+        violations = lost.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("violations")).scalar()
+        undecided = F.count_if(F.isnull(value))
     else:
         holds = _holds(rule)
         violations = F.count_if(applies & ~holds)
@@ -110,50 +114,33 @@ def _counts(rule: Rule) -> dict[str, Column]:
     return {"violations": violations, "undecided": undecided, "checked": F.count_if(applies)}
 
 
-def _reference_result(rule: Rule, tables: Mapping[str, DataFrame]) -> DataFrame:
-    child, (parent, parent_key) = tables[rule.table], rule.args
-    missing = F.count_if(F.isnull(F.col(rule.column)))
-    lost = orphans(child, tables[parent], rule.column, parent_key)
-    violations = lost.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("violations"))
-    seen = child.agg(missing.alias("undecided"), F.count("*").alias("checked"))
-    return seen.select(violations.scalar().alias("violations"), "undecided", "checked").select(
-        F.lit(rule.name).alias("rule"), F.lit(rule.table).alias("table_name"), "*"
-    )
-
-
 def scorecard(rules: Sequence[Rule], tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per rule: violations, undecided rows (missing values), rows checked, verdict.
 
-    The rules of one table that look at single rows share one aggregate, so the table is scanned
-    once for all of them. Uniqueness rules and references add one aggregate each.
+    The rules of one table share one aggregate, so the table is scanned once for all of them.
+    Uniqueness rules have a scan of their key column each, references one of theirs.
     """
     results = []
     for table in dict.fromkeys(r.table for r in rules):
         mine = [r for r in rules if r.table == table]
-        alone = [r for r in mine if r.kind == "unique"]
-        for batch in ([r for r in mine if r.kind not in ("unique", "reference")], *([r] for r in alone)):
-            if batch:
-                results.append(_shared_aggregate(batch, tables[table]))
-        results += [_reference_result(r, tables) for r in mine if r.kind == "reference"]
+        together = [r for r in mine if r.kind != "unique"]
+        for batch in ([together] if together else []) + [[r] for r in mine if r.kind == "unique"]:
+            results.append(_shared_aggregate(batch, tables))
     whole = reduce(DataFrame.unionByName, results)
-    return whole.select(
-        "rule",
-        "table_name",
-        *(F.col(c).cast("bigint").alias(c) for c in ("violations", "undecided", "checked")),
-        (F.col("violations") == 0).alias("passed"),
-    )
+    return whole.withColumn("passed", F.col("violations") == 0)
 
 
-def _shared_aggregate(rules: Sequence[Rule], table: DataFrame) -> DataFrame:
+def _shared_aggregate(rules: Sequence[Rule], tables: Mapping[str, DataFrame]) -> DataFrame:
     measures = [
         F.struct(
             F.lit(r.name).alias("rule"),
             F.lit(r.table).alias("table_name"),
-            *(c.cast("bigint").alias(n) for n, c in _counts(r).items()),
+            *(c.cast("bigint").alias(n) for n, c in _counts(r, tables).items()),
         )
         for r in rules
     ]
-    return table.agg(F.array(*measures).alias("results")).select(F.inline("results"))
+    rows = tables[rules[0].table].agg(F.array(*measures).alias("results"))
+    return rows.select(F.inline("results"))
 
 
 def gate_verdicts(
