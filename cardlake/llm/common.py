@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import math
+import tempfile
+import zipfile
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -13,7 +16,7 @@ from cardlake.sources.shared import settle
 
 __all__ = [
     "byte_hashes", "collapse_sorted", "dense_key", "documents", "mix64", "null_id", "read",
-    "real_id", "running_totals", "settle", "tasks_for", "word_hashes", "word_spans",
+    "real_id", "running_totals", "settle", "ship_code", "tasks_for", "word_hashes", "word_spans",
 ]
 
 _NULL_ID = -(1 << 63)
@@ -22,7 +25,25 @@ _MIX_1, _MIX_2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _BASE = 0x9E3779B97F4A7C15
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once for each application."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    name = Path(tempfile.mkdtemp(prefix="cardlake-code-")) / "cardlake_code.zip"
+    with zipfile.ZipFile(name, "w") as target:
+        for source in package.rglob("*.py"):
+            target.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(name))
+    _shipped.add(application)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 

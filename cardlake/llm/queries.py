@@ -5,10 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.llm import fingerprints, sharding
+from cardlake.llm import fingerprints, packing, quality, sharding
 from cardlake.llm.common import read
 
 
+def tokenizer(name: str) -> str:
+    """Where a public tokenizer lies; queries pass the path on as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op2_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(read(spark, sf_dir, "documents"))
 
@@ -25,8 +32,18 @@ def op9_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_minimum_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+def op10_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op2_syncmer_fingerprints": op2_syncmer_fingerprints,
+    "op6_minimum_slack_packing": op6_minimum_slack_packing,
     "op9_minimax_shards": op9_minimax_shards,
+    "op10_fourier_quality": op10_fourier_quality,
 }
 ORACLE: dict[str, str] = {}
