@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.llm import fingerprints, neardup, packing, quality, sharding
+from cardlake.llm import fingerprints, neardup, packing, quality, sharding, substrings
 from cardlake.llm.common import read
 
 
@@ -20,6 +20,10 @@ def op2_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(read(spark, sf_dir, "documents"))
 
 
+def op7_countmin_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removed_words(read(spark, sf_dir, "documents"), window=50)
+
+
 def op8_setsketch_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"), percent=85)
 
@@ -47,6 +51,7 @@ def op10_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_syncmer_fingerprints": op2_syncmer_fingerprints,
     "op6_minimum_slack_packing": op6_minimum_slack_packing,
+    "op7_countmin_substrings": op7_countmin_substrings,
     "op8_setsketch_neardup": op8_setsketch_neardup,
     "op9_minimax_shards": op9_minimax_shards,
     "op10_fourier_quality": op10_fourier_quality,
