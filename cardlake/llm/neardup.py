@@ -193,7 +193,8 @@ def classes(docs: DataFrame, percent: int = 85) -> DataFrame:
     registers = 125 // rows * rows
     sketched = settle(sketch_documents(docs, registers), "sketches")
     full = sketched.filter("_n > 0")
-    keys = full.groupBy("_k1", "_k2").agg(F.min("_id").alias("_rep"))
+    # written first, so that the join reads plain shuffles, which Spark can split where a class is hot
+    keys = settle(full.groupBy("_k1", "_k2").agg(F.min("_id").alias("_rep")), "class_keys")
     known = settle(
         full.join(keys, ["_k1", "_k2"]).select(
             "_id", "_n", "_rep", F.when(F.col("_id") == F.col("_rep"), F.col("_sketch")).alias("_sketch")

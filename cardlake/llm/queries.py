@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.llm import fingerprints, neardup, packing, quality, sharding, substrings
+from cardlake.llm import fingerprints, lm, neardup, packing, quality, sharding, substrings
 from cardlake.llm.common import read
 
 
@@ -40,6 +40,10 @@ def op9_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(read(spark, sf_dir, "documents"))
+
+
 def op6_minimum_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
@@ -50,6 +54,7 @@ def op10_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_syncmer_fingerprints": op2_syncmer_fingerprints,
+    "op5_kneser_ney": op5_kneser_ney,
     "op6_minimum_slack_packing": op6_minimum_slack_packing,
     "op7_countmin_substrings": op7_countmin_substrings,
     "op8_setsketch_neardup": op8_setsketch_neardup,

@@ -113,7 +113,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     some = later.groupBy(*same).agg(F.collect_set("_i").alias("_places"))  # a segment's windows at most
     judged = kinds.filter("_times > 1").select(*same, "_least").join(some, same, "full")
     judged = judged.select(*same, F.coalesce("_least", F.lit(None).cast("bigint")).alias("_least"), "_places")
-    met = found.drop("_windows").join(judged, same)
+    # written first, so that the join reads plain shuffles, which Spark can split where a passage is hot
+    met = found.drop("_windows").join(settle(judged, "judged"), same)
     begin, end = F.col("_first"), F.col("_first") + F.col("_count") - 1
     everything = F.array(F.struct(begin.alias("_s"), end.alias("_e")))
     places = F.transform(
