@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.llm import fingerprints, lm, neardup, packing, quality, sharding, substrings
+from cardlake.llm import ann, fingerprints, lm, neardup, packing, quality, sharding, substrings
 from cardlake.llm.common import read
 
 
@@ -16,6 +16,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_pruned_graph_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0, top=5)
+
+
 def op2_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(read(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ def op10_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pruned_graph_ann": op1_pruned_graph_ann,
     "op2_syncmer_fingerprints": op2_syncmer_fingerprints,
     "op5_kneser_ney": op5_kneser_ney,
     "op6_minimum_slack_packing": op6_minimum_slack_packing,
