@@ -30,6 +30,16 @@ def gram_hashes(values: np.ndarray, length: int) -> np.ndarray:
         return mix64((prefix[length:] - prefix[:-length]) * down[: n - length + 1] + np.uint64(length))
 
 
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of values[start:end], with the length."""
+    n = len(values)
+    up, down = _power_table(n + 1)
+    with np.errstate(over="ignore"):
+        prefix = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(values * up[:n], out=prefix[1:])
+        return mix64((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
 def _smallest(grams: np.ndarray, width: int) -> np.ndarray:
     n = len(grams)
     mask = np.uint64((1 << _PLACE) - 1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.llm import ann, fingerprints, lm, neardup, packing, quality, sharding, spiece, substrings
+from cardlake.llm import ann, fingerprints, lm, neardup, packing, quality, sharding, spiece, substrings, suffixes
 from cardlake.llm.common import read
 
 
@@ -44,6 +44,10 @@ def op9_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_bwt_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(read(spark, sf_dir, "documents"), window=100, with_bytes=False)
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spiece.encode_documents(
         read(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"), with_ids=False
@@ -65,6 +69,7 @@ def op10_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pruned_graph_ann": op1_pruned_graph_ann,
     "op2_syncmer_fingerprints": op2_syncmer_fingerprints,
+    "op3_bwt_merge_dedup": op3_bwt_merge_dedup,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_kneser_ney": op5_kneser_ney,
     "op6_minimum_slack_packing": op6_minimum_slack_packing,
