@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from cardlake.llm.common import collapse_sorted, documents, mix64, settle, ship_code, word_hashes
 from cardlake.sources.shared import fresh_path
 
-CHUNK = 3_000_000  # tokens handled together in a task
+CHUNK = 1_000_000  # tokens handled together in a task
 BUCKET = 4_000_000  # tokens per bucket of words or pairs
 END = np.uint64(0x0E0D0C0B0A090807)
 _M1 = np.uint64(pow(0xFF51AFD7ED558CCD, -1, 1 << 64))
