@@ -151,15 +151,16 @@ def seems_repeated(anchors: np.ndarray, table: list[np.ndarray], bits: int) -> n
 
 
 def ranges_by_document(found: DataFrame) -> DataFrame:
-    """_id, _h, _ranges: the ranges (_s, _e) of each document in one row."""
-    return found.groupBy("_id", "_h").agg(F.collect_list(F.struct("_s", "_e")).alias("_ranges"))
+    """_id, _h, _ranges: the ranges (_s, _e) of each document in one row, each as _s * 2**32 + _e."""
+    packed = F.shiftleft(F.col("_s").cast("bigint"), 32) + F.col("_e")
+    return found.groupBy("_id", "_h").agg(F.collect_list(packed).alias("_ranges"))
 
 
 def covered(n: int, ranges, width: int) -> np.ndarray:
     """Which of n places lie in a window that starts in one of the ranges (both ends included)."""
     step = np.zeros(n + 1, dtype=np.int64)
     if ranges is not None and len(ranges):
-        table = np.array([(r["_s"], r["_e"]) for r in ranges], dtype=np.int64)
-        np.add.at(step, table[:, 0], 1)
-        np.add.at(step, np.minimum(table[:, 1] + width, n), -1)
+        packed = np.asarray(ranges, dtype=np.int64)
+        np.add.at(step, packed >> 32, 1)
+        np.add.at(step, np.minimum((packed & 0xFFFFFFFF) + width, n), -1)
     return np.cumsum(step[:-1]) > 0

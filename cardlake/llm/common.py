@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import math
 import tempfile
+import time
 import zipfile
 from pathlib import Path
 
@@ -15,7 +17,7 @@ from cardlake.operators.keys import dense_key
 from cardlake.sources.shared import settle
 
 __all__ = [
-    "byte_hashes", "collapse_sorted", "dense_key", "documents", "mix64", "null_id", "read",
+    "byte_hashes", "collapse_sorted", "dense_key", "documents", "forget", "mix64", "null_id", "read",
     "real_id", "running_totals", "settle", "ship_code", "tasks_for", "word_hashes", "word_spans",
 ]
 
@@ -25,6 +27,25 @@ _MIX_1, _MIX_2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _BASE = 0x9E3779B97F4A7C15
 
 
+def forget(*tables: DataFrame) -> None:
+    """Delete settled tables that nothing reads any more, and let Spark drop finished shuffles.
+
+    Only folders below the shared one that ``settle`` made are deleted.
+    """
+    spark = tables[0].sparkSession
+    jvm = spark.sparkContext._jvm
+    for table in tables:
+        folders = {name.rsplit("/", 1)[0] for name in table.inputFiles()}
+        for folder in folders:
+            if "/cardlake/" in folder:
+                path = jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    for _ in range(2):  # Spark removes shuffle files once nothing refers to them, here or in the JVM
+        gc.collect()
+        jvm.System.gc()
+        time.sleep(0.5)
+
+
 _shipped: set[str] = set()
 
 

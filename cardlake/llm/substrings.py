@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardlake.llm import anchored
-from cardlake.llm.common import documents, mix64, null_id, real_id, settle, ship_code, word_hashes
+from cardlake.llm.common import documents, forget, null_id, real_id, settle, ship_code, word_hashes
 
 WINDOW = 50
 GRAM = 8
@@ -38,7 +38,7 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """_id, _h (of the text), _s, _e: ranges of window starts that also start in a smaller doc_id."""
+    """_id, _h (of the text), _ranges: packed ranges of window starts that a smaller doc_id has too."""
     spark = docs.sparkSession
     ship_code(spark)
     width = window - gram + 1
@@ -58,25 +58,26 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     total = seen.agg(F.sum("n")).first()[0] or 0
     bits = anchored.sketch_bits(8 * total)
     table = spark.sparkContext.broadcast(anchored.repeated_anchors(seen.select("anchors"), bits))
+    forget(seen)
 
     def repeated(batches):
         for batch in batches:
             out = []
-            for doc_id, h, text in zip(batch["_id"], batch["_h"], batch["text"]):
+            for doc_id, h, text in zip(batch["_id"].tolist(), batch["_h"].tolist(), batch["text"]):
                 words = word_hashes(text, False)
                 grams = anchored.gram_hashes(words, gram)
                 anchor, first, count = anchored.segments(grams, width)
                 keep = np.flatnonzero(anchored.seems_repeated(anchor, table.value, bits))
                 if not len(keep):
                     continue
-                whole = anchored.gram_hashes(words, window)
-                with np.errstate(over="ignore"):
-                    place = np.arange(len(whole), dtype=np.uint64)
-                    for i in keep.tolist():
-                        a, n = int(first[i]), int(count[i])
-                        part = whole[a : a + n]
-                        sig = mix64(part + place[:n] * np.uint64(0x2545F4914F6CDD1D)).sum(dtype=np.uint64)
-                        out.append((doc_id, h, int(anchor[i].astype(np.int64)), int(sig.astype(np.int64)), a, n, part.tobytes()))
+                whole = anchored.gram_hashes(words, window).tobytes()
+                begin, n = first[keep], count[keep]
+                sig = anchored.span_hashes(words, begin, begin + n + window - 1).view(np.int64)
+                lists = (x.tolist() for x in (anchor[keep].view(np.int64), sig, begin, n))
+                out += [
+                    (doc_id, h, gram_hash, own, a, k, whole[8 * a : 8 * (a + k)])
+                    for gram_hash, own, a, k in zip(*lists)
+                ]
             yield pd.DataFrame(out, columns=["_id", "_h", "_anchor", "_sig", "_first", "_count", "_windows"])
 
     found = settle(rows.mapInPandas(repeated, _SEGMENT), "segments")
@@ -114,19 +115,23 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     judged = kinds.filter("_times > 1").select(*same, "_least").join(some, same, "full")
     judged = judged.select(*same, F.coalesce("_least", F.lit(None).cast("bigint")).alias("_least"), "_places")
     # written first, so that the join reads plain shuffles, which Spark can split where a passage is hot
-    met = found.drop("_windows").join(settle(judged, "judged"), same)
+    judged = settle(judged, "judged")
+    forget(kinds, apart)
+    met = found.drop("_windows").join(judged, same)
     begin, end = F.col("_first"), F.col("_first") + F.col("_count") - 1
     everything = F.array(F.struct(begin.alias("_s"), end.alias("_e")))
     places = F.transform(
         "_places", lambda i: F.struct((begin + i).alias("_s"), (begin + i).alias("_e"))
     )
     ranges = F.when(F.col("_id") > F.col("_least"), everything).otherwise(places)
-    return met.select("_id", "_h", F.inline(ranges))
+    spans = settle(anchored.ranges_by_document(met.select("_id", "_h", F.inline(ranges))), "repeated_ranges")
+    forget(found, judged)
+    return spans
 
 
 def _judge(docs: DataFrame, judge: Callable, schema: str, columns: list, window: int) -> DataFrame:
     """Each row with the ranges of its removed windows, handed to ``judge(batch)``."""
-    spans = anchored.ranges_by_document(repeated_windows(docs, window))
+    spans = repeated_windows(docs, window)
     rows = docs.select(*columns, null_id(F.col("doc_id").cast("bigint")).alias("_id"),
                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("_h"))
 

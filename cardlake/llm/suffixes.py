@@ -4,11 +4,13 @@ Which suffixes can share 100 bytes is settled first. Every 100-byte window belon
 50-byte gram in it; windows around one occurrence of it form a segment. Segments whose gram is
 counted once by a count-min sketch can't repeat. Equal segments collapse to one kind with its first
 place (thousands of copies are one row after map-side aggregation): all later copies are repeats. The
-kinds of grams that have several go to buckets of bounded size. In a bucket, shards of kinds are
-suffix-sorted to the needed depth and their transforms merged two by two: the interleave of both
-orders is refined one character at a time by a stable distribution of the transforms' symbols, which
-also yields the common prefixes of neighbours; no suffix is sorted again. Intervals of suffixes with a
-common prefix of 100 bytes are the repeats; in each, all but the first in (doc_id, start) go.
+kinds of grams that have several go to buckets. (A window reaches 30 bytes beyond its gram on one side
+at least; where a gram has very many kinds, its windows are dealt by the gram and those bytes.) In a
+bucket, shards of kinds are suffix-sorted to the needed depth and their transforms merged two by two:
+the interleave of both orders is refined one symbol (five bytes) at a time by a stable distribution of
+the transforms' symbols, which also yields the common prefixes of neighbours; no suffix is sorted
+again. Intervals of suffixes with a common prefix of 100 bytes are the repeats; in each, all but the
+first in (doc_id, start) go.
 
 Cases: a null text is empty; texts under 100 bytes lose nothing; overlapping repeats inside one
 document count; matches never cross documents; rows that repeat both doc_id and text are one document;
@@ -26,108 +28,144 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardlake.llm import anchored
-from cardlake.llm.common import _BYTE, documents, null_id, real_id, settle, ship_code
+from cardlake.llm.common import _BYTE, documents, forget, mix64, null_id, real_id, settle, ship_code
 
 WINDOW = 100
-GRAM = 50
-BUCKET_BYTES = 1 << 20
-SHARD_BYTES = 1 << 19
+GRAM = 40
+UNIT = 5  # bytes of one symbol while transforms are merged
+BUCKET_BYTES = 1 << 19
+SHARD_BYTES = 1 << 20
+HOT = 4096  # kinds of one gram beyond which its windows are dealt by what stands beside it
 _SEGMENT = "_id bigint, _h bigint, _anchor bigint, _sig bigint, _first int, _count int"
 
 
 class Transform:
     """Suffixes of a set of strings, sorted to a depth, with their transform.
 
-    ``bwt`` holds the symbol before each suffix (0: the string begins there, else byte + 1), ``place``
-    the position in the concatenation of the strings, each with one end mark. The end marks of
-    different strings differ, in the order of the strings.
+    ``bwt`` holds the symbol before each suffix (0: the string begins there), ``back`` the place in the
+    order of the suffix that is longer by this symbol, ``place`` the position in the concatenation of
+    the strings, each with one end mark. End marks of different strings differ, in their order.
     """
 
-    def __init__(self, bwt: np.ndarray, place: np.ndarray, strings: int):
-        self.bwt, self.place, self.strings = bwt, place, strings
+    def __init__(self, bwt: np.ndarray, back: np.ndarray, place: np.ndarray):
+        self.bwt, self.back, self.place = bwt, back, place
 
 
-def shard_transform(strings: list[bytes], depth: int) -> tuple[Transform, np.ndarray]:
-    """The transform of a shard by doubling ranks, and for each suffix whether it starts a new interval."""
-    lengths = np.array([len(s) + 1 for s in strings])
-    ends = np.cumsum(lengths) - 1
-    n = int(ends[-1]) + 1
-    symbols = np.frombuffer(b"\0".join(strings) + b"\0", dtype=np.uint8).astype(np.uint16) + 1
-    symbols[ends] = 0
-    rank = symbols.astype(np.uint64) + np.uint64(len(strings))
-    rank[ends] = np.arange(len(strings), dtype=np.uint64)
+def shard_transform(symbols: np.ndarray, ends: np.ndarray, depth: int) -> Transform:
+    """The transform of a shard by tripling ranks.
+
+    symbols: the strings with a 0 at each of ``ends``, their end marks; other symbols are positive.
+    """
+    n, strings = len(symbols), len(ends)
+    rank = symbols.astype(np.uint64) + np.uint64(strings)
+    rank[ends] = np.arange(strings, dtype=np.uint64)
     have = 1
     while True:
-        step = min(have, depth - have)
-        ahead = np.zeros(n, dtype=np.uint64)
-        ahead[: n - step] = rank[step:]
-        key = rank * (rank.max() + np.uint64(1)) + ahead
+        base = rank.max() + np.uint64(1)
+        steps = [min(have, depth - have)] if have < depth else [0]
+        if int(base) ** 3 < 1 << 64 and have + steps[0] < depth:
+            steps.append(min(2 * have, depth - have))
+        key = rank
+        for step in steps:
+            ahead = np.zeros(n, dtype=np.uint64)
+            ahead[: n - step] = rank[step:]
+            key = key * base + ahead
         order = np.argsort(key, kind="stable")
         ranked = key[order]
         start = np.concatenate(([True], ranked[1:] != ranked[:-1]))
         rank = np.empty(n, dtype=np.uint64)
         rank[order] = (np.cumsum(start) - 1).astype(np.uint64)
-        have += step
+        have += steps[-1]
         if have >= depth or start.all():
             break
-    before = np.concatenate((symbols[:1] * 0, symbols[:-1]))
-    return Transform(before[order], order, len(strings)), start
+    where = np.empty(n, dtype=np.int32)
+    where[order] = np.arange(n, dtype=np.int32)
+    return Transform(symbols[order - 1] * (order > 0), where[order - 1], order)
 
 
-def merge(a: Transform, b: Transform, depth: int) -> tuple[Transform, np.ndarray]:
-    """Both transforms in one, and the common prefix of each suffix with the one before, up to ``depth``.
+def merge(shards: list[Transform], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The repeated intervals of the merged transform.
 
-    Round h sorts by the first h characters: the symbols before the suffixes, dealt out stably in the
-    present interleave, give the next one.
+    Returns the suffixes (numbered through the shards, in each by its order) that share their first
+    ``depth`` symbols with another one, in merged order, and which of them start a new interval.
+
+    The interleave begins as one shard after the other. Round h deals the suffixes out by the symbols
+    before them, stably, which interleaves them by their first h symbols; neighbours whose symbol or
+    last interval differ have a common prefix under h. A suffix alone in its interval has no longer
+    common prefix, nor has any suffix that ends with it, so it takes no part in later rounds.
     """
-    n, marks = len(a.bwt) + len(b.bwt), a.strings + b.strings
-    of_b = np.zeros(n, dtype=bool)
-    of_b[len(a.bwt) :] = True
-    block = np.zeros(n, dtype=np.int32)
-    common = np.full(n, depth, dtype=np.int32)
-    common[0] = 0
-    symbol = np.empty(n, dtype=np.uint16)
-    for h in range(depth):
-        symbol[~of_b], symbol[of_b] = a.bwt, b.bwt
+    begins = np.cumsum([0] + [len(t.bwt) for t in shards])
+    bwt = np.concatenate([t.bwt for t in shards])
+    back = np.concatenate([t.back + np.int32(b) for t, b in zip(shards, begins)])
+    row = np.arange(begins[-1], dtype=np.int32)
+    block, start = np.zeros(len(row), dtype=np.int32), np.ones(0, dtype=bool)
+    for _ in range(depth):
+        symbol = bwt[row]
+        inner = symbol > 0
+        row, symbol, block = row[inner], symbol[inner], block[inner]
         order = np.argsort(symbol, kind="stable")
-        dealt, came = symbol[order], block[order]
-        start = np.empty(n, dtype=bool)
-        start[0] = True
-        start[1:] = (dealt[1:] != dealt[:-1]) | (came[1:] != came[:-1])
-        start[:marks] = True  # end marks all differ
-        now = of_b[order]
-        now[: a.strings], now[a.strings : marks] = False, True
-        common[start & (common == depth)] = h
-        same = bool((now == of_b).all())
-        fresh = np.cumsum(start, dtype=np.int32) - 1
-        if same and (fresh == block).all():
-            break
-        of_b, block = now, fresh
-    place = np.empty(n, dtype=np.int64)
-    symbol[~of_b], symbol[of_b] = a.bwt, b.bwt
-    place[~of_b], place[of_b] = a.place, b.place + len(a.bwt)
-    common[0] = 0
-    return Transform(symbol.copy(), place, marks), common
-
-
-def intervals(strings: list[bytes], depth: int, shard_bytes: int = SHARD_BYTES):
-    """Places of the suffixes in sorted order, and which of them start a new interval of equal
-    ``depth``-byte prefixes. Places count in the concatenation of the strings with one mark each."""
-    shards, begin, size = [], 0, 0
-    for i, s in enumerate(strings):
-        if size and size + len(s) > shard_bytes:
-            shards.append(strings[begin:i])
-            begin, size = i, 0
-        size += len(s) + 1
-    shards.append(strings[begin:])
-    built = [shard_transform(s, depth) for s in shards]
-    start = built[0][1]
-    row = [t for t, _ in built]
-    while len(row) > 1:
-        merged = [merge(*row[i : i + 2], depth) for i in range(0, len(row) - 1, 2)]
-        start = merged[0][1] < depth
-        row = [t for t, _ in merged] + row[len(row) - len(row) % 2 :]
-    return row[0].place, start
+        row, symbol, block = back[row[order]], symbol[order], block[order]
+        start = np.ones(len(row) + 1, dtype=bool)
+        start[1:-1] = (symbol[1:] != symbol[:-1]) | (block[1:] != block[:-1])
+        shared = ~(start[:-1] & start[1:])
+        row, start = row[shared], start[:-1][shared]
+        block = np.cumsum(start, dtype=np.int32)
+    return row, start
+
+
+def intervals(strings: list[bytes], depth: int, shard_bytes: int = SHARD_BYTES, unit: int = 1):
+    """Byte places of the suffixes that share their first ``depth`` bytes with another, in merged order,
+    and which of them start a new interval. Places count in the concatenation of the strings.
+
+    With ``unit`` over 1 (a divisor of ``depth``), that many bytes are one symbol: a string becomes
+    ``unit`` strings, one for each phase, so every byte place is still the start of one suffix, and
+    merging takes depth / unit rounds.
+    """
+    if depth % unit or unit > 7:
+        raise ValueError("the unit must divide the depth and be at most 7 bytes")
+    data = np.frombuffer(b"".join(strings), dtype=np.uint8)
+    lengths = np.array([len(s) for s in strings], dtype=np.int64)
+    begins = np.cumsum(lengths) - lengths
+    # all whole symbols, by the byte at which they start
+    words = np.zeros(len(data), dtype=np.uint64)
+    for i in range(unit):
+        words[: max(0, len(data) - i)] |= data[i:].astype(np.uint64) << np.uint64(8 * (unit - 1 - i))
+    alphabet, number = np.sort(words), None
+    alphabet = alphabet[np.concatenate(([True], alphabet[1:] != alphabet[:-1]))] if len(data) else words
+    number = np.searchsorted(alphabet, words) + 1
+    kind = np.uint16 if len(alphabet) < (1 << 16) - 1 else np.uint32
+    # phase strings: (first byte, number of symbols)
+    phase = np.tile(np.arange(unit), len(strings))
+    own = np.repeat(np.arange(len(strings)), unit)
+    count = np.maximum(0, (lengths[own] - phase) // unit)
+    first = begins[own] + phase
+    shard, size = [], 0
+    limit = min(shard_bytes, (len(data) + len(count)) // 2 + 1)  # two shards at least
+    cuts = [0]
+    for i, n in enumerate(count.tolist()):
+        if size and size + n > limit:
+            cuts.append(i)
+            size = 0
+        size += n + 1
+    cuts.append(len(count))
+    at = []
+    for x, y in zip(cuts[:-1], cuts[1:]):
+        if x == y:
+            continue
+        sizes = count[x:y] + 1
+        ends = np.cumsum(sizes) - 1
+        inner = np.arange(int(ends[-1]) + 1) - np.repeat(ends + 1 - sizes, sizes)
+        byte = np.repeat(first[x:y], sizes) + unit * inner
+        symbols = np.zeros(len(byte), dtype=kind)
+        real = np.ones(len(byte), dtype=bool)
+        real[ends] = False
+        symbols[real] = number[byte[real]]
+        shard.append(shard_transform(symbols, ends, depth // unit))
+        at.append(np.where(real, byte, -1))
+    if not shard:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=bool)
+    row, start = merge(shard, depth // unit)
+    return np.concatenate([a[t.place] for a, t in zip(at, shard)])[row], start
 
 
 def later_windows(payloads: list[bytes], ids: np.ndarray, firsts: np.ndarray, window: int):
@@ -135,14 +173,12 @@ def later_windows(payloads: list[bytes], ids: np.ndarray, firsts: np.ndarray, wi
 
     ids, firsts: document and start of each string's first byte; earlier is by both, in that order.
     """
-    place, start = intervals(payloads, window)
-    lengths = np.array([len(p) + 1 for p in payloads])
+    place, start = intervals(payloads, window, unit=UNIT if window % UNIT == 0 else 1)
+    lengths = np.array([len(p) for p in payloads], dtype=np.int64)
     offsets = np.cumsum(lengths) - lengths
-    of = np.searchsorted(offsets, place, side="right") - 1
+    of = np.searchsorted(offsets, place, side="right") - 1  # no string is empty
     inner = place - offsets[of]
-    whole = inner + window < lengths[of]
     group = np.cumsum(start)
-    group, of, inner = group[whole], of[whole], inner[whole]
     order = np.lexsort((firsts[of] + inner, ids[of], group))
     group, of, inner = group[order], of[order], inner[order]
     at = (ids[of], firsts[of] + inner)
@@ -157,8 +193,8 @@ def _bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """_id, _h (of the text), _s, _e: ranges of window starts that also start earlier."""
+def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT) -> DataFrame:
+    """_id, _h (of the text), _ranges: packed ranges of window starts that also start earlier."""
     spark = docs.sparkSession
     ship_code(spark)
     width = window - gram + 1
@@ -179,27 +215,24 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     total = seen.agg(F.sum("n")).first()[0] or 0
     bits = anchored.sketch_bits(8 * total)
     table = spark.sparkContext.broadcast(anchored.repeated_anchors(seen.select("anchors"), bits))
+    forget(seen)
 
     def repeated(batches):
         for batch in batches:
             parts = []
-            for doc_id, h, text in zip(batch["_id"], batch["_h"], batch["text"]):
+            for doc_id, h, text in zip(batch["_id"].tolist(), batch["_h"].tolist(), batch["text"]):
                 values, anchor, first, count = cut(text)
                 keep = np.flatnonzero(anchored.seems_repeated(anchor, table.value, bits))
                 if not len(keep):
                     continue
                 first, count = first[keep], count[keep]
-                parts.append(
-                    pd.DataFrame(
-                        {
-                            "_id": doc_id, "_h": h, "_anchor": anchor[keep].astype(np.int64),
-                            "_sig": anchored.span_hashes(values, first, first + count + window - 1).astype(np.int64),
-                            "_first": first.astype(np.int32), "_count": count.astype(np.int32),
-                        }
-                    )
-                )
+                sig = anchored.span_hashes(values, first, first + count + window - 1)
+                one = np.ones(len(keep), dtype=np.int64)
+                parts.append((doc_id * one, h * one, anchor[keep].view(np.int64), sig.view(np.int64), first, count))
             if parts:
-                yield pd.concat(parts, ignore_index=True)
+                columns = [np.concatenate(c) for c in zip(*parts)]
+                frame = pd.DataFrame(dict(zip(("_id", "_h", "_anchor", "_sig", "_first", "_count"), columns)))
+                yield frame.astype({"_first": np.int32, "_count": np.int32})
 
     found = settle(rows.mapInPandas(repeated, _SEGMENT), "segments")
     same = ["_anchor", "_sig"]
@@ -208,49 +241,72 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     )
     kinds = settle(kinds, "segment_kinds")
     several = kinds.groupBy("_anchor").agg(F.count("*").alias("_kinds")).filter("_kinds > 1")
-    wanted = kinds.join(settle(several, "several_kinds").select("_anchor"), "_anchor").select(*same, "_least.*")
-    wanted = settle(wanted, "wanted_segments")
+    several = settle(several.select("_anchor", (F.col("_kinds") > hot).alias("_hot")), "several_kinds")
+    wanted = settle(kinds.join(several, "_anchor").select(*same, "_hot", "_least.*"), "wanted_segments")
     weight = wanted.agg(F.sum(F.col("_count") + window)).first()[0] or 0
     buckets = max(1, math.ceil(weight / BUCKET_BYTES))
-    lists = wanted.groupBy("_id", "_h").agg(F.collect_list(F.struct(*same, "_first", "_count")).alias("_list"))
+    lists = wanted.groupBy("_id", "_h").agg(
+        F.collect_list(F.struct(*same, "_hot", "_first", "_count")).alias("_list")
+    )  # a document's own segments
 
     def take(batches):
+        beside = (window - gram) // 2
         for batch in batches:
             out = []
             for doc_id, text, asked in zip(batch["_id"], batch["text"], batch["_list"]):
                 raw = _bytes(text)
                 for r in asked:
-                    part = raw[r["_first"] : r["_first"] + r["_count"] + window - 1]
-                    out.append((r["_anchor"], r["_sig"], doc_id, r["_first"], part))
-            yield pd.DataFrame(out, columns=["_anchor", "_sig", "_id", "_first", "_bytes"])
+                    first, count, key = r["_first"], r["_count"], r["_anchor"]
+                    part = raw[first : first + count + window - 1]
+                    if not r["_hot"]:
+                        out.append((key, key, r["_sig"], doc_id, first, 0, part))
+                        continue
+                    values = _BYTE[np.frombuffer(part, dtype=np.uint8)]
+                    at = int(np.flatnonzero(anchored.gram_hashes(values, gram).view(np.int64) == key)[0])
+                    split = min(count, max(0, at - beside + 1))  # windows before it reach far enough left
+                    sides = ((0, split, at - beside, at), (split, count, at + gram, at + gram + beside))
+                    for begin, end, x, y in sides:
+                        if begin < end:
+                            span = np.array([x]), np.array([y])
+                            context = anchored.span_hashes(values, *span) + np.uint64(begin > 0)
+                            mixed = mix64(context ^ np.array([key]).view(np.uint64)).view(np.int64)[0]
+                            piece = part[begin : end + window - 1]
+                            out.append((int(mixed), key, r["_sig"], doc_id, first, begin, piece))
+            yield pd.DataFrame(out, columns=["_key", "_anchor", "_sig", "_id", "_first", "_shift", "_bytes"])
 
     strings = (
         rows.join(lists, ["_id", "_h"])
         .dropDuplicates(["_id", "_h"])
         .select("_id", "text", "_list")
-        .mapInPandas(take, "_anchor bigint, _sig bigint, _id bigint, _first int, _bytes binary")
-        .withColumn("_bucket", F.pmod(F.xxhash64("_anchor"), F.lit(buckets)))
+        .mapInPandas(
+            take, "_key bigint, _anchor bigint, _sig bigint, _id bigint, _first int, _shift int, _bytes binary"
+        )
+        .withColumn("_bucket", F.pmod(F.xxhash64("_key"), F.lit(buckets)))
     )
 
     def resolve(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["_anchor", "_sig"])
-        string, offset = later_windows(
-            group["_bytes"].tolist(), group["_id"].to_numpy(), group["_first"].to_numpy().astype(np.int64), window
-        )
+        group = group.sort_values(["_key", "_sig"])
+        shift = group["_shift"].to_numpy().astype(np.int64)
+        starts = group["_first"].to_numpy().astype(np.int64) + shift
+        string, offset = later_windows(group["_bytes"].tolist(), group["_id"].to_numpy(), starts, window)
         out = group[["_anchor", "_sig"]].iloc[string].copy()
-        out["_place"] = offset.astype(np.int32)
+        out["_place"] = (shift[string] + offset).astype(np.int32)
         return out
 
     places = strings.groupBy("_bucket").applyInPandas(resolve, "_anchor bigint, _sig bigint, _place int")
     some = places.groupBy(*same).agg(F.collect_set("_place").alias("_places"))  # a segment's windows at most
     judged = kinds.select(*same, "_times", F.col("_least._id").alias("_l"), F.col("_least._first").alias("_f"))
     judged = settle(judged.join(some, same, "left").filter("_times > 1 OR _places IS NOT NULL"), "judged")
+    forget(kinds, several, wanted)
     met = found.join(judged, same)
     begin = F.col("_first")
     everything = F.array(F.struct(begin.alias("_s"), (begin + F.col("_count") - 1).alias("_e")))
     single = F.transform("_places", lambda i: F.struct((begin + i).alias("_s"), (begin + i).alias("_e")))
     first = (F.col("_id") == F.col("_l")) & (F.col("_first") == F.col("_f"))
-    return met.select("_id", "_h", F.inline(F.when(first, single).otherwise(everything)))
+    ranges = met.select("_id", "_h", F.inline(F.when(first, single).otherwise(everything)))
+    spans = settle(anchored.ranges_by_document(ranges), "repeated_ranges")
+    forget(found, judged)
+    return spans
 
 
 def kept_bytes(text: str | None, ranges, window: int) -> tuple[int, int, int, bytes]:
@@ -265,7 +321,7 @@ def kept_bytes(text: str | None, ranges, window: int) -> tuple[int, int, int, by
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, with_bytes: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the kept bytes."""
-    spans = anchored.ranges_by_document(repeated_windows(docs, window))
+    spans = repeated_windows(docs, window)
     rows = documents(docs).select(null_id("doc_id").alias("_id"), F.xxhash64("text").alias("_h"), "text")
     names = ["_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: 6 if with_bytes else 5]
 
