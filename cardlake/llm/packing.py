@@ -14,6 +14,7 @@ doc_id stays null; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -28,16 +29,26 @@ from cardlake.llm.common import dense_key, documents, settle
 
 CAPACITY = 2048
 CLOSING_ID = 0
+# Fixed value: the published split pattern of byte-level BPE.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-_ROOM = 400_000  # remembered words in a worker, some 60 MB
+LONG_RUN = re.compile(r"\S{4000}")
+
+
+def _byte_letters() -> dict[str, int]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable ones themselves."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
 class WordTokenizer:
-    """Ids of whole texts, word by word.
+    """Ids of whole texts as the tokenizers file defines them.
 
-    The byte-level pattern never joins a character to a following blank, so a text may be cut before
-    each single blank that a visible character follows; the parts are remembered. Texts with other
-    spacing, or with the spelling of a special token, are encoded whole.
+    For a plain byte-level BPE file the same vocabulary also drives the tiktoken encoder, which gives
+    the same ids four times as fast; the first texts in each worker are encoded by both and must agree.
+    Texts that spell a special token or hold a very long run without blanks, and all texts of other
+    kinds of files, go through tokenizers itself.
     """
 
     def __init__(self, path: str):
@@ -46,38 +57,45 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        return [
-            array("I", e.ids).tobytes()
-            for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        ]
+        self.fast, self.agreed = self._same_vocabulary(path), 0
+
+    def _same_vocabulary(self, path: str):
+        with open(path, encoding="utf-8") as source:
+            spec = json.load(source)
+        model, before = spec["model"], spec.get("pre_tokenizer") or {}
+        plain = model.get("type") == "BPE" and not spec.get("normalizer") and not model.get("dropout")
+        split = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before["add_prefix_space"]
+        if not (plain and split and not model.get("ignore_merges")):
+            return None
+        import tiktoken
+
+        letters = _byte_letters()
+        ranks = {
+            bytes(letters[c] for c in piece): number
+            for piece, number in model["vocab"].items()
+            if piece not in self.special
+        }
+        return tiktoken.Encoding("same", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split, unknown = [], set()
+        if self.fast is None:
+            return self._whole(texts)
+        out = []
         for text in texts:
-            if re.search(r" (?:\s|$)", text) or any(s in text for s in self.special):
-                split.append(None)
+            if any(s in text for s in self.special) or LONG_RUN.search(text):
+                out += self._whole([text])
                 continue
-            first, *rest = text.split(" ")
-            parts = [first, *(" " + part for part in rest)] if first else [" " + p for p in rest]
-            split.append(parts)
-            unknown.update(parts)
-        unknown.difference_update(self.known)
-        if len(self.known) + len(unknown) > _ROOM:
-            self.known.clear()
-            unknown = set().union(*(p for p in split if p))
-        fresh = list(unknown)
-        for at in range(0, len(fresh), 20_000):
-            some = fresh[at : at + 20_000]
-            self.known.update(zip(some, self._encoded(some)))
-        known = self.known.__getitem__
-        return [
-            self._encoded([text])[0] if parts is None else b"".join(map(known, parts))
-            for text, parts in zip(texts, split)
-        ]
+            out.append(array("I", self.fast.encode_ordinary(text)).tobytes())
+            if self.agreed < 20:
+                if self._whole([text])[0] != out[-1]:
+                    raise ValueError("the two encoders of this tokenizer file differ")
+                self.agreed += 1
+        return out
 
 
 _loaded: dict[str, WordTokenizer] = {}
@@ -202,4 +220,4 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece of every text."""
-    return pack(pieces(docs, tokenizer_path, capacity), capacity)
+    return pack(settle(pieces(docs, tokenizer_path, capacity), "pieces"), capacity)

@@ -28,7 +28,7 @@ from cardlake.llm.packing import chunks
 
 MARK = "▁"
 THREADS = 2
-_ROOM = 400_000  # remembered parts in a worker
+ROOM = 1_000_000  # remembered parts in a worker, some 150 MB
 # Fixed values of the published model format: field numbers, piece kinds, model types.
 _PIECES, _TRAINER, _NORMALIZER = 1, 2, 3
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
@@ -89,6 +89,7 @@ class PieceModel:
         self.squash = bool(normalizer.get(_EXTRA_BLANKS, 1))
         self.escape = bool(normalizer.get(_ESCAPE, 1))
         self.unknown = next(i for i, p in enumerate(self.pieces) if p[2] == _UNKNOWN)
+        self.plain = self.prefix and self.escape and not self.squash and not normalizer.get(_CHARS_MAP)
         self._normalizer = self._build_normalizer(normalizer.get(_CHARS_MAP, b""))
         self.tokenizer = self._build_model()
         inner = re.compile(f"[^{MARK}]{MARK}")
@@ -98,7 +99,7 @@ class PieceModel:
             bytes([int(p[3:5], 16)]) if kind == _BYTE else p.encode() for p, _, kind in self.pieces
         ]
         self.known: dict[str, bytes] = {}
-        self.exact: dict[str, bool] = {}
+        self.lossy: set[str] = set()
 
     def _build_normalizer(self, chars_map: bytes):
         from tokenizers import Regex, normalizers
@@ -157,20 +158,27 @@ class PieceModel:
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bool]]:
         """For each text its ids (unsigned 32-bit, little-endian) and whether its parts decode to it."""
-        split = [self._parts(self.normalize(t)) for t in texts]
-        unknown = set().union(*split) - self.known.keys()
-        if len(self.known) + len(unknown) > _ROOM:
-            self.known.clear()
-            self.exact.clear()
-            unknown = set().union(*split)
+        if len(self.known) > ROOM:  # short parts come often
+            self.known = {part: self.known[part] for part in sorted(self.known, key=len)[: ROOM // 2]}
+        quick, split, unknown = self.plain and self.cuts, [], set()
+        for text in texts:
+            # single blanks: the words, each of which a marker precedes
+            if quick and text and text[0] != " " and "  " not in text and MARK not in text:
+                split.append(text.split(" "))
+            else:
+                split.append([p[1:] if p[:1] == MARK else "\0" + p for p in self._parts(self.normalize(text))])
+            unknown.update(split[-1])
+        unknown.difference_update(self.known)
         fresh = list(unknown)
         for at in range(0, len(fresh), 20_000):
             some = fresh[at : at + 20_000]
-            for part, found in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
-                self.known[part] = array("I", found.ids).tobytes()
-                if b"".join(map(self._bytes.__getitem__, found.ids)) != part.encode():
-                    self.exact[part] = False
-        known, lossy = self.known.__getitem__, self.exact
+            parts = [p[1:] if p[:1] == "\0" else MARK + p for p in some]
+            for key, part, found in zip(some, parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)):
+                ids = found.ids
+                self.known[key] = array("I", ids).tobytes()
+                if b"".join(map(self._bytes.__getitem__, ids)) != part.encode():
+                    self.lossy.add(key)
+        known, lossy = self.known.__getitem__, self.lossy
         return [(b"".join(map(known, p)), not (lossy and any(x in lossy for x in p))) for p in split]
 
     def decode(self, ids) -> str:
