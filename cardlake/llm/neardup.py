@@ -272,4 +272,5 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 def keep_first(docs: DataFrame, percent: int = 80) -> DataFrame:
     """The first document of each group, with all its columns."""
     lost = classes(docs, percent).filter("_id != _root").select(real_id("_id").alias("_lost"))
-    return docs.join(lost.distinct(), docs["doc_id"].cast("bigint").eqNullSafe(F.col("_lost")), "left_anti")
+    lost = lost.distinct()
+    return docs.join(lost, docs["doc_id"].cast("bigint").eqNullSafe(lost["_lost"]), "left_anti")

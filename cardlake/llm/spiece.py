@@ -166,13 +166,13 @@ class PieceModel:
             if quick and text and text[0] != " " and "  " not in text and MARK not in text:
                 split.append(text.split(" "))
             else:
-                split.append([p[1:] if p[:1] == MARK else "\0" + p for p in self._parts(self.normalize(text))])
+                split.append([p[1:] if p[:1] == MARK else "\ud800" + p for p in self._parts(self.normalize(text))])
             unknown.update(split[-1])
         unknown.difference_update(self.known)
         fresh = list(unknown)
         for at in range(0, len(fresh), 20_000):
             some = fresh[at : at + 20_000]
-            parts = [p[1:] if p[:1] == "\0" else MARK + p for p in some]
+            parts = [p[1:] if p[:1] == "\ud800" else MARK + p for p in some]
             for key, part, found in zip(some, parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)):
                 ids = found.ids
                 self.known[key] = array("I", ids).tobytes()

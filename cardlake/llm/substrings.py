@@ -20,8 +20,9 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from cardlake.llm import anchored
 from cardlake.llm.common import documents, forget, null_id, real_id, settle, ship_code, word_hashes
@@ -175,18 +176,25 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     a column, its new length; other texts stay as they are.
     """
     names = docs.columns
+    # positional names meanwhile, so that no column can clash with those of the join
+    inner = [f"_c{i}" for i in range(len(names))]
+    schema = StructType([StructField(c, f.dataType, True) for c, f in zip(inner, docs.schema)])
+    text_at, size_at = inner[names.index("text")], None
+    if "n_chars" in names:
+        size_at = inner[names.index("n_chars")]
 
     def judge(batch):
         texts = []
-        for text, ranges in zip(batch["text"], batch["_ranges"]):
+        for text, ranges in zip(batch[text_at], batch["_ranges"]):
             if ranges is not None and len(ranges):
                 text = without(text, ranges, window)[2].decode("utf-8", "surrogatepass")
             texts.append(text)
-        if "n_chars" in names:
+        if size_at:
             lost = batch["_ranges"].notna()
-            batch["n_chars"] = batch["n_chars"].astype("Int64")
-            batch.loc[lost, "n_chars"] = [len(t) for t, x in zip(texts, lost) if x]
-        batch["text"] = texts
-        return batch[names]
+            batch[size_at] = batch[size_at].astype("Int64")
+            batch.loc[lost, size_at] = [len(t) for t, x in zip(texts, lost) if x]
+        batch[text_at] = texts
+        return batch[inner]
 
-    return _judge(docs, judge, docs.schema, list(names), window)
+    columns = [F.col(f"`{name}`").alias(c) for name, c in zip(names, inner)]
+    return _judge(docs, judge, schema, columns, window).toDF(*names)
