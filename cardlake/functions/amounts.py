@@ -12,9 +12,9 @@ RATE_TYPE = "decimal(10,6)"
 
 
 def usd(amount: Column, currency: Column) -> Column:
-    """Converted amount; NULL where the currency has no rate."""
+    """Converted amount; NULL where the currency has no rate or the amount no room in 18 digits."""
     rate = fixed_lookup(currency, fixed_values.USD_PER_UNIT, RATE_TYPE)
-    return F.round(amount.cast("decimal(18,6)") * rate, 6).cast("decimal(18,6)")
+    return F.round(amount.try_cast("decimal(18,6)") * rate, 6).try_cast("decimal(18,6)")
 
 
 def usd_with_default(amount: Column, currency: Column) -> Column:
@@ -23,7 +23,7 @@ def usd_with_default(amount: Column, currency: Column) -> Column:
         fixed_lookup(currency, fixed_values.DASHBOARD_USD_PER_UNIT, RATE_TYPE),
         F.lit(fixed_values.DASHBOARD_DEFAULT_RATE).cast(RATE_TYPE),
     )
-    return F.round(amount.cast("decimal(18,6)") * rate, 6).cast("decimal(18,6)")
+    return F.round(amount.try_cast("decimal(18,6)") * rate, 6).try_cast("decimal(18,6)")
 
 
 def rounded_sum(amount: Column, digits: int = 2) -> Column:

@@ -54,7 +54,7 @@ def lag_hours(start: Column, end: Column) -> Column:
 
 
 def date_key(at: Column) -> Column:
-    return F.date_format(at, "yyyyMMdd").cast("int")
+    return F.date_format(at, "yyyyMMdd").try_cast("int")
 
 
 def calendar_parts(day: Column) -> dict[str, Column]:

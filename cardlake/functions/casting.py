@@ -41,7 +41,7 @@ _SHAPES = {
     "HH": r"([01]\d|2[0-3])",
     "mm": r"[0-5]\d",
     "ss": r"[0-5]\d",
-    "SSS": r"\d{3}",
+    "SSS": r"\d{1,3}",
     "XXX": r"(Z|[+-]\d{2}:\d{2})",
     "Z": r"[+-]\d{4}",
     "'T'": "T",

@@ -22,7 +22,7 @@ def title_words(value: Column) -> Column:
 
 def title_letters(value: Column) -> Column:
     """Capital after anything that is not a letter, the rest lower case."""
-    pieces = F.split(F.lower(value), "(?<=[^a-z])(?=[a-z])")
+    pieces = F.split(F.lower(value), r"(?<=\P{L})(?=\p{L})")
     return F.array_join(F.transform(pieces, F.initcap), "")
 
 

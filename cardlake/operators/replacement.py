@@ -85,7 +85,7 @@ def _apply(entries: Column, text: Column) -> Column:
         last = F.element_at(forms, -1)
         return F.array_append(forms, F.replace(last, entry["old"], entry["new"]))
 
-    return F.array_distinct(F.aggregate(entries, F.array(text), step))
+    return F.aggregate(entries, F.array(text), step)
 
 
 def replacements_for(texts: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -104,7 +104,9 @@ def replacements_for(texts: DataFrame, dictionary: DataFrame) -> DataFrame:
         state = settle(
             found.groupBy("text")
             .agg(F.array_sort(F.collect_set("entry")).alias("entries"))
-            .withColumn("forms", _apply(F.col("entries"), F.col("text"))),
+            .withColumn("forms", _apply(F.col("entries"), F.col("text")))
+            .withColumn("replaced", F.element_at("forms", -1))
+            .withColumn("forms", F.array_distinct("forms")),
             "replaced",
         )
         known = state.select("text", F.explode("entries").alias("entry"))
@@ -112,7 +114,7 @@ def replacements_for(texts: DataFrame, dictionary: DataFrame) -> DataFrame:
         met = _entries_in(changed, dictionary, beginnings)
         gained = settle(met.join(known, ["text", "entry"], "left_anti"), "gained")
         if gained.isEmpty():
-            return state.select("text", F.element_at("forms", -1).alias("replaced"))
+            return state.select("text", "replaced")
         found = known.unionByName(gained)
 
 

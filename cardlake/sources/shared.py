@@ -19,6 +19,8 @@ def shared_root(spark: SparkSession) -> str:
     already = spark.sparkContext.getCheckpointDir()
     if already:
         return already.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="cardlake-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir()

@@ -62,7 +62,7 @@ def title_words(x: str) -> str:
 
 def title_letters(x: str) -> str:
     return (
-        f"array_to_string(list_transform(regexp_extract_all(lower({x}), '[a-z]+|[^a-z]+'), "
+        f"array_to_string(list_transform(regexp_extract_all(lower({x}), '\\p{{L}}+|\\P{{L}}+'), "
         f"lambda w: concat(upper(w[1]), w[2:])), '')"
     )
 
@@ -140,7 +140,7 @@ def clearing_time(x: str) -> str:
     """Clearing texts: plain, ISO with zone (colon, Z or none), day first, then month first."""
     return f"""CASE
       WHEN regexp_full_match({x}, '\\d{{4}}-\\d\\d-\\d\\d \\d\\d:\\d\\d:\\d\\d') THEN try_strptime({x}, '%Y-%m-%d %H:%M:%S')
-      WHEN regexp_full_match({x}, '\\d{{4}}-\\d\\d-\\d\\dT\\d\\d:\\d\\d:\\d\\d(\\.\\d{{3}})?(Z|[+-]\\d\\d:?\\d\\d)')
+      WHEN regexp_full_match({x}, '\\d{{4}}-\\d\\d-\\d\\dT\\d\\d:\\d\\d:\\d\\d(\\.\\d{{1,3}})?(Z|[+-]\\d\\d:?\\d\\d)')
         THEN TRY_CAST(substring({x}, 1, 19) AS TIMESTAMP) - CASE
           WHEN {x} LIKE '%Z' THEN INTERVAL 0 MINUTE
           ELSE to_minutes(CAST((CASE WHEN regexp_extract({x}, '([+-])\\d\\d:?\\d\\d$', 1) = '-' THEN -1 ELSE 1 END)
