@@ -32,6 +32,8 @@ GRAM = 8
 _SEGMENT = (
     "_id bigint, _h bigint, _anchor bigint, _sig bigint, _first int, _count int, _windows binary"
 )
+_BLOCK = 1 << 16
+_PLACE = np.dtype([("_id", "<i8"), ("_h", "<i8"), ("_first", "<i4"), ("_count", "<i4")])
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -118,18 +120,83 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     # written first, so that the join reads plain shuffles, which Spark can split where a passage is hot
     judged = settle(judged, "judged")
     forget(kinds, apart)
-    met = found.drop("_windows").join(judged, same)
-    begin, end = F.col("_first"), F.col("_first") + F.col("_count") - 1
-    everything = F.array(F.struct(begin.alias("_s"), end.alias("_e")))
-    places = F.transform(
-        "_places", lambda i: F.struct((begin + i).alias("_s"), (begin + i).alias("_e"))
-    )
-    ranges = F.when(F.col("_id") > F.col("_least"), everything).otherwise(places)
-    spans = settle(anchored.ranges_by_document(met.select("_id", "_h", F.inline(ranges))), "repeated_ranges")
+    met = _occurrences(found).join(judged, same)
+    spans = settle(_ranges_of_documents(met), "repeated_ranges")
     forget(found, judged)
     return spans
 
 
+def _occurrences(found: DataFrame) -> DataFrame:
+    """_anchor, _sig, _places_of: the places of equal segments, packed, up to _BLOCK of a task in one row.
+
+    A passage with very many copies goes through the join as a few rows of bounded size.
+    """
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["_anchor", "_sig"])
+        kind = rows[["_anchor", "_sig"]].to_numpy()
+        places = np.empty(len(rows), dtype=_PLACE)
+        for name in _PLACE.names:
+            places[name] = rows[name]
+        cut = np.flatnonzero(np.concatenate(([True], (kind[1:] != kind[:-1]).any(axis=1))))
+        ends = np.append(cut[1:], len(rows))
+        return pd.DataFrame(
+            {
+                "_anchor": kind[cut, 0],
+                "_sig": kind[cut, 1],
+                "_places_of": [places[a:b].tobytes() for a, b in zip(cut, ends)],
+            }
+        )
+
+    def blocks(batches):
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += len(batch)
+            if size >= _BLOCK:
+                yield pack(pd.concat(held))
+                held, size = [], 0
+        if size:
+            yield pack(pd.concat(held))
+
+    rows = found.select("_anchor", "_sig", *_PLACE.names)
+    return rows.mapInPandas(blocks, "_anchor bigint, _sig bigint, _places_of binary")
+
+
+def _ranges_of_documents(met: DataFrame) -> DataFrame:
+    """_id, _h, _ranges from segments with their verdict: all windows of later documents, else _places."""
+
+    def unpack(batches):
+        for batch in batches:
+            ids, hashes, ranges = [], [], []
+            for packed, least, inner in zip(batch["_places_of"], batch["_least"].tolist(), batch["_places"]):
+                at = np.frombuffer(packed, dtype=_PLACE)
+                later = at["_id"] > least
+                whole, part = at[later], at[~later]
+                start = whole["_first"].astype(np.int64)
+                ids.append(whole["_id"])
+                hashes.append(whole["_h"])
+                ranges.append((start << 32) + start + whole["_count"] - 1)
+                if inner is not None and len(inner) and len(part):
+                    start = (part["_first"].astype(np.int64)[:, None] + np.asarray(inner, dtype=np.int64)).ravel()
+                    ids.append(np.repeat(part["_id"], len(inner)))
+                    hashes.append(np.repeat(part["_h"], len(inner)))
+                    ranges.append((start << 32) + start)
+            if not ids:
+                continue
+            table = pd.DataFrame(
+                {"_id": np.concatenate(ids), "_h": np.concatenate(hashes), "_r": np.concatenate(ranges)}
+            )
+            if len(table):
+                yield table.groupby(["_id", "_h"])["_r"].agg(list).rename("_ranges").reset_index()
+
+    # a segment that occurs once has no smaller document: no id is larger than the largest number
+    least = F.coalesce("_least", F.lit((1 << 63) - 1)).alias("_least")
+    rows = met.select("_places_of", least, "_places")
+    found = rows.mapInPandas(unpack, "_id bigint, _h bigint, _ranges array<bigint>")
+    return found.groupBy("_id", "_h").agg(F.flatten(F.collect_list("_ranges")).alias("_ranges"))
+
+
 def _judge(docs: DataFrame, judge: Callable, schema: str, columns: list, window: int) -> DataFrame:
     """Each row with the ranges of its removed windows, handed to ``judge(batch)``."""
     spans = repeated_windows(docs, window)
