@@ -30,9 +30,9 @@ from cardlake.llm.common import documents, forget, null_id, real_id, settle, shi
 WINDOW = 50
 GRAM = 8
 _SEGMENT = (
-    "_id bigint, _h bigint, _anchor bigint, _sig bigint, _first int, _count int, _windows binary"
+    "_anchor bigint, _sig bigint, _least bigint, _times bigint, _windows binary, _places_of binary"
 )
-_BLOCK = 1 << 16
+_BLOCK = 1 << 16  # segments of a task in memory at once
 _PLACE = np.dtype([("_id", "<i8"), ("_h", "<i8"), ("_first", "<i4"), ("_count", "<i4")])
 
 
@@ -40,6 +40,29 @@ def _rows(docs: DataFrame) -> DataFrame:
     return documents(docs).select(null_id("doc_id").alias("_id"), F.xxhash64("text").alias("_h"), "text")
 
 
+def _packed(held: list[tuple], windows: list[bytes]) -> pd.DataFrame:
+    """One row for each kind of segment: its least document, how often it came, its windows, its places.
+
+    A passage with very many copies so travels as a few rows of bounded size, not one for each copy.
+    """
+    anchor, sig, places = (np.concatenate(parts) for parts in zip(*held))
+    order = np.lexsort((sig, anchor))
+    anchor, sig, places = anchor[order], sig[order], places[order]
+    new = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (sig[1:] != sig[:-1])))
+    cut = np.flatnonzero(new)
+    ends = np.append(cut[1:], len(anchor))
+    return pd.DataFrame(
+        {
+            "_anchor": anchor[cut],
+            "_sig": sig[cut],
+            "_least": np.minimum.reduceat(places["_id"], cut),
+            "_times": ends - cut,
+            "_windows": [windows[i] for i in order[cut]],
+            "_places_of": [places[a:b].tobytes() for a, b in zip(cut, ends)],
+        }
+    )
+
+
 def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """_id, _h (of the text), _ranges: packed ranges of window starts that a smaller doc_id has too."""
     spark = docs.sparkSession
@@ -64,8 +87,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     forget(seen)
 
     def repeated(batches):
+        held, windows = [], []
         for batch in batches:
-            out = []
             for doc_id, h, text in zip(batch["_id"].tolist(), batch["_h"].tolist(), batch["text"]):
                 words = word_hashes(text, False)
                 grams = anchored.gram_hashes(words, gram)
@@ -75,18 +98,21 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
                     continue
                 whole = anchored.gram_hashes(words, window).tobytes()
                 begin, n = first[keep], count[keep]
+                places = np.empty(len(keep), dtype=_PLACE)
+                places["_id"], places["_h"], places["_first"], places["_count"] = doc_id, h, begin, n
                 sig = anchored.span_hashes(words, begin, begin + n + window - 1).view(np.int64)
-                lists = (x.tolist() for x in (anchor[keep].view(np.int64), sig, begin, n))
-                out += [
-                    (doc_id, h, gram_hash, own, a, k, whole[8 * a : 8 * (a + k)])
-                    for gram_hash, own, a, k in zip(*lists)
-                ]
-            yield pd.DataFrame(out, columns=["_id", "_h", "_anchor", "_sig", "_first", "_count", "_windows"])
+                held.append((anchor[keep].view(np.int64), sig, places))
+                windows += [whole[8 * a : 8 * (a + k)] for a, k in zip(begin.tolist(), n.tolist())]
+                if len(windows) >= _BLOCK:
+                    yield _packed(held, windows)
+                    held, windows = [], []
+        if windows:
+            yield _packed(held, windows)
 
     found = settle(rows.mapInPandas(repeated, _SEGMENT), "segments")
     same = ["_anchor", "_sig"]
     kinds = found.groupBy(*same).agg(
-        F.min("_id").alias("_least"), F.count("*").alias("_times"), F.first("_windows").alias("_windows")
+        F.min("_least").alias("_least"), F.sum("_times").alias("_times"), F.first("_windows").alias("_windows")
     )
     kinds = settle(kinds, "segment_kinds")
     of_anchor = kinds.groupBy("_anchor").agg(F.count("*").alias("_kinds"), F.sum("_times").alias("_all"))
@@ -120,49 +146,12 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     # written first, so that the join reads plain shuffles, which Spark can split where a passage is hot
     judged = settle(judged, "judged")
     forget(kinds, apart)
-    met = _occurrences(found).join(judged, same)
+    met = found.select(*same, "_places_of").join(judged, same)
     spans = settle(_ranges_of_documents(met), "repeated_ranges")
     forget(found, judged)
     return spans
 
 
-def _occurrences(found: DataFrame) -> DataFrame:
-    """_anchor, _sig, _places_of: the places of equal segments, packed, up to _BLOCK of a task in one row.
-
-    A passage with very many copies goes through the join as a few rows of bounded size.
-    """
-
-    def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["_anchor", "_sig"])
-        kind = rows[["_anchor", "_sig"]].to_numpy()
-        places = np.empty(len(rows), dtype=_PLACE)
-        for name in _PLACE.names:
-            places[name] = rows[name]
-        cut = np.flatnonzero(np.concatenate(([True], (kind[1:] != kind[:-1]).any(axis=1))))
-        ends = np.append(cut[1:], len(rows))
-        return pd.DataFrame(
-            {
-                "_anchor": kind[cut, 0],
-                "_sig": kind[cut, 1],
-                "_places_of": [places[a:b].tobytes() for a, b in zip(cut, ends)],
-            }
-        )
-
-    def blocks(batches):
-        held, size = [], 0
-        for batch in batches:
-            held.append(batch)
-            size += len(batch)
-            if size >= _BLOCK:
-                yield pack(pd.concat(held))
-                held, size = [], 0
-        if size:
-            yield pack(pd.concat(held))
-
-    rows = found.select("_anchor", "_sig", *_PLACE.names)
-    return rows.mapInPandas(blocks, "_anchor bigint, _sig bigint, _places_of binary")
-
-
 def _ranges_of_documents(met: DataFrame) -> DataFrame:
     """_id, _h, _ranges from segments with their verdict: all windows of later documents, else _places."""
 
