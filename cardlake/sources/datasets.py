@@ -67,15 +67,22 @@ def load_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
 def register_tables(spark: SparkSession, datasets: Mapping[str, tuple[str, str]]) -> DataFrame:
     """Register external tables and list their columns.
 
-    ``datasets`` maps a table name to (format, path). Column discovery reads file footers or the
-    header line and merges columns that only later files have.
+    ``datasets`` maps a table name to (format, path). Parquet footers are read and columns that only
+    later files have are merged. CSV columns are those of one header; reading the table fails on a
+    file with another one. An external table of the same name is replaced; a managed one, whose rows
+    would be lost, is refused.
     """
     listings = []
     for name, (fmt, path) in datasets.items():
         reader = spark.read.option("header", True).option("mergeSchema", fmt == "parquet")
         found = reader.format(fmt).load(path)
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        if spark.catalog.tableExists(name):
+            if spark.catalog.getTable(name).tableType == "MANAGED":
+                raise ValueError(f"a managed table has this name: {name}")
+            spark.sql(f"DROP TABLE {name}")
         options = {"path": path, "header": "true", "mergeSchema": str(fmt == "parquet").lower()}
+        if fmt == "csv":
+            options["enforceSchema"] = "false"
         spark.catalog.createTable(name, source=fmt, schema=found.schema, **options)
         partitions = {c.name for c in spark.catalog.listColumns(name) if c.isPartition}
         if partitions:
