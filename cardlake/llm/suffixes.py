@@ -4,9 +4,12 @@ Which suffixes can share 100 bytes is settled first. Every 100-byte window belon
 50-byte gram in it; windows around one occurrence of it form a segment. Segments whose gram is
 counted once by a count-min sketch can't repeat. Equal segments collapse to one kind with its first
 place (thousands of copies are one row after map-side aggregation): all later copies are repeats. The
-kinds of grams that have several go to buckets. (A window reaches 30 bytes beyond its gram on one side
-at least; where a gram has very many kinds, its windows are dealt by the gram and those bytes.) In a
-bucket, shards of kinds are suffix-sorted to the needed depth and their transforms merged two by two:
+kinds of grams that have several go to buckets. Where a gram has very many kinds, their windows are
+dealt by the gram and how far it lies from a window's start, in a few ranges: all windows of a range reach
+some bytes beyond the gram on both sides, which join the key. Pieces that are equal then collapse to the
+one with the first place, by their bytes, before any key goes to a task; keys that still have very many
+kinds are split again, until whole windows are the key and one kind each is left. So a task gets a
+bounded number of strings of a key, whatever a passage is shared by. In a bucket, shards of kinds are suffix-sorted to the needed depth and their transforms merged two by two:
 the interleave of both orders is refined one symbol (five bytes) at a time by a stable distribution of
 the transforms' symbols, which also yields the common prefixes of neighbours; no suffix is sorted
 again. Intervals of suffixes with a common prefix of 100 bytes are the repeats; in each, all but the
@@ -28,14 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardlake.llm import anchored
-from cardlake.llm.common import _BYTE, documents, forget, mix64, null_id, real_id, settle, ship_code
+from cardlake.llm.common import _BYTE, documents, forget, null_id, real_id, settle, ship_code
 
 WINDOW = 100
 GRAM = 40
 UNIT = 5  # bytes of one symbol while transforms are merged
 BUCKET_BYTES = 1 << 19
 SHARD_BYTES = 1 << 20
-HOT = 4096  # kinds of one gram beyond which its windows are dealt by what stands beside it
+HOT = 4096  # kinds of one key beyond which its windows are dealt by what stands beside the gram
+PARTS = 4  # ranges that the windows of such a key are dealt to at a time
 _SEGMENT = "_id bigint, _h bigint, _anchor bigint, _sig bigint, _first int, _count int"
 
 
@@ -189,6 +193,24 @@ def later_windows(payloads: list[bytes], ids: np.ndarray, firsts: np.ndarray, wi
     return of[again & ~same], inner[again & ~same]
 
 
+def narrower(piece: bytes, at: int, low: int, high: int, window: int, gram: int):
+    """The windows of a piece dealt to narrower ranges, with the bytes around the gram that they share.
+
+    at: the gram's place in the piece, whose windows have it at some of the places from low to high.
+    Yields key, low, high, the first window's place in the piece, the gram's place and the bytes of each.
+    """
+    last = at + window - len(piece)  # where the last window has the gram
+    step = -(-(high - low + 1) // PARTS)
+    for x in range(low, high + 1, step):
+        y = min(high, x + step - 1)
+        far, near = min(y, at), max(x, last)
+        if near <= far:
+            shared = piece[at - x : at + window - y]
+            key = hashlib.blake2b(shared + b"%d %d" % (x, y), digest_size=8).digest()
+            begin = at - far
+            yield int.from_bytes(key, "big", signed=True), x, y, begin, far, piece[begin : at - near + window]
+
+
 def _bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
@@ -243,65 +265,101 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, ho
     several = kinds.groupBy("_anchor").agg(F.count("*").alias("_kinds")).filter("_kinds > 1")
     several = settle(several.select("_anchor", (F.col("_kinds") > hot).alias("_hot")), "several_kinds")
     wanted = settle(kinds.join(several, "_anchor").select(*same, "_hot", "_least.*"), "wanted_segments")
-    weight = wanted.agg(F.sum(F.col("_count") + window)).first()[0] or 0
-    buckets = max(1, math.ceil(weight / BUCKET_BYTES))
+    weight = wanted.filter("NOT _hot").agg(F.sum(F.col("_count") + window)).first()[0] or 0
     lists = wanted.groupBy("_id", "_h").agg(
         F.collect_list(F.struct(*same, "_hot", "_first", "_count")).alias("_list")
     )  # a document's own segments
 
     def take(batches):
-        beside = (window - gram) // 2
         for batch in batches:
             out = []
             for doc_id, text, asked in zip(batch["_id"], batch["text"], batch["_list"]):
                 raw = _bytes(text)
                 for r in asked:
-                    first, count, key = r["_first"], r["_count"], r["_anchor"]
-                    part = raw[first : first + count + window - 1]
-                    if not r["_hot"]:
-                        out.append((key, key, r["_sig"], doc_id, first, 0, part))
-                        continue
-                    values = _BYTE[np.frombuffer(part, dtype=np.uint8)]
-                    at = int(np.flatnonzero(anchored.gram_hashes(values, gram).view(np.int64) == key)[0])
-                    split = min(count, max(0, at - beside + 1))  # windows before it reach far enough left
-                    sides = ((0, split, at - beside, at), (split, count, at + gram, at + gram + beside))
-                    for begin, end, x, y in sides:
-                        if begin < end:
-                            span = np.array([x]), np.array([y])
-                            context = anchored.span_hashes(values, *span) + np.uint64(begin > 0)
-                            mixed = mix64(context ^ np.array([key]).view(np.uint64)).view(np.int64)[0]
-                            piece = part[begin : end + window - 1]
-                            out.append((int(mixed), key, r["_sig"], doc_id, first, begin, piece))
-            yield pd.DataFrame(out, columns=["_key", "_anchor", "_sig", "_id", "_first", "_shift", "_bytes"])
+                    first, key = r["_first"], r["_anchor"]
+                    part = raw[first : first + r["_count"] + window - 1]
+                    at = 0  # where the gram lies matters to hot ones alone
+                    if r["_hot"]:
+                        values = _BYTE[np.frombuffer(part, dtype=np.uint8)]
+                        at = int(np.flatnonzero(anchored.gram_hashes(values, gram).view(np.int64) == key)[0])
+                    out.append((key, 0, width - 1, at, r["_hot"], key, r["_sig"], doc_id, first, 0, part))
+            yield pd.DataFrame(out, columns=names)
 
+    def deal(batches):
+        for batch in batches:
+            out = []
+            for r in batch[names].itertuples(index=False, name=None):
+                _, low, high, at, _, *kind, doc_id, start, shift, part = r
+                for key, x, y, begin, place, piece in narrower(part, at, low, high, window, gram):
+                    out.append((key, x, y, place, True, *kind, doc_id, start + begin, shift + begin, piece))
+            yield pd.DataFrame(out, columns=names)
+
+    schema = (
+        "_key bigint, _low int, _high int, _at int, _hot boolean, _anchor bigint, _sig bigint, "
+        "_id bigint, _start int, _shift int, _bytes binary"
+    )
+    names = [c.split()[0] for c in schema.split(", ")]
     strings = (
         rows.join(lists, ["_id", "_h"])
         .dropDuplicates(["_id", "_h"])
         .select("_id", "text", "_list")
-        .mapInPandas(
-            take, "_key bigint, _anchor bigint, _sig bigint, _id bigint, _first int, _shift int, _bytes binary"
-        )
-        .withColumn("_bucket", F.pmod(F.xxhash64("_key"), F.lit(buckets)))
+        .mapInPandas(take, schema)
     )
+    later, done = [], []
+    if several.filter("_hot").limit(1).count():
+        strings = settle(strings, "segment_bytes")
+        done.append(strings)
+        wide, strings = strings.filter("_hot"), strings.filter("NOT _hot")
+        key = ["_key", "_low", "_high"]
+        while wide.limit(1).count():
+            pieces = settle(wide.mapInPandas(deal, schema), "pieces")
+            alike = pieces.groupBy(*key, "_bytes").agg(
+                F.min(F.struct("_id", "_start", "_at", "_anchor", "_sig", "_shift")).alias("_least"),
+                F.count("*").alias("_times"),
+            )
+            alike = settle(alike, "piece_kinds")
+            copied = alike.filter("_times > 1").select(
+                *key, "_bytes", F.col("_least._id").alias("_l"), F.col("_least._start").alias("_f")
+            )
+            copies = pieces.join(copied, [*key, "_bytes"]).filter("_id != _l OR _start != _f")
+            until = F.col("_shift") + F.length("_bytes") - window
+            later.append(settle(copies.select(*same, F.col("_shift").alias("_place"), until.alias("_until")), "copies"))
+            number = alike.groupBy(*key).agg(F.count("*").alias("_kinds")).filter("_kinds > 1")
+            left = alike.join(number, key).select(
+                *key, "_least.*", ((F.col("_kinds") > hot) & (F.col("_low") < F.col("_high"))).alias("_hot"), "_bytes"
+            )
+            left = settle(left.select(*names), "pieces_left")
+            forget(pieces, alike)
+            done += [left, later[-1]]
+            weight += left.filter("NOT _hot").agg(F.sum(F.length("_bytes"))).first()[0] or 0
+            strings, wide = strings.union(left.filter("NOT _hot")), left.filter("_hot")
+    buckets = max(1, math.ceil(weight / BUCKET_BYTES))
+    strings = strings.withColumn("_bucket", F.pmod(F.xxhash64("_key"), F.lit(buckets)))
 
     def resolve(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["_key", "_sig"])
         shift = group["_shift"].to_numpy().astype(np.int64)
-        starts = group["_first"].to_numpy().astype(np.int64) + shift
+        starts = group["_start"].to_numpy().astype(np.int64)
         string, offset = later_windows(group["_bytes"].tolist(), group["_id"].to_numpy(), starts, window)
         out = group[["_anchor", "_sig"]].iloc[string].copy()
-        out["_place"] = (shift[string] + offset).astype(np.int32)
+        out["_place"] = out["_until"] = (shift[string] + offset).astype(np.int32)
         return out
 
-    places = strings.groupBy("_bucket").applyInPandas(resolve, "_anchor bigint, _sig bigint, _place int")
-    some = places.groupBy(*same).agg(F.collect_set("_place").alias("_places"))  # a segment's windows at most
+    places = strings.groupBy("_bucket").applyInPandas(
+        resolve, "_anchor bigint, _sig bigint, _place int, _until int"
+    )
+    for copies in later:
+        places = places.union(copies)
+    some = places.groupBy(*same).agg(F.collect_set(F.struct("_place", "_until")).alias("_places"))
     judged = kinds.select(*same, "_times", F.col("_least._id").alias("_l"), F.col("_least._first").alias("_f"))
     judged = settle(judged.join(some, same, "left").filter("_times > 1 OR _places IS NOT NULL"), "judged")
-    forget(kinds, several, wanted)
+    forget(kinds, several, wanted, *done)
     met = found.join(judged, same)
     begin = F.col("_first")
     everything = F.array(F.struct(begin.alias("_s"), (begin + F.col("_count") - 1).alias("_e")))
-    single = F.transform("_places", lambda i: F.struct((begin + i).alias("_s"), (begin + i).alias("_e")))
+    single = F.transform(
+        "_places", lambda p: F.struct((begin + p["_place"]).alias("_s"), (begin + p["_until"]).alias("_e"))
+    )
     first = (F.col("_id") == F.col("_l")) & (F.col("_first") == F.col("_f"))
     ranges = met.select("_id", "_h", F.inline(F.when(first, single).otherwise(everything)))
     spans = settle(anchored.ranges_by_document(ranges), "repeated_ranges")

@@ -138,6 +138,36 @@ def test_byte_windows(docs, nothing, hot, monkeypatch):
     assert suffixes.remove_repeats(nothing).count() == 0
 
 
+def test_hot_grams_reach_tasks_in_bounded_groups(spark, monkeypatch):
+    """300 documents share a passage and a footer under 100 bytes, all with other text around them."""
+    rnd = random.Random(6)
+    text = lambda n: "".join(rnd.choices("abcdefghij ", k=n))
+    passage, footer = text(250), text(85)
+    rows = [(i, text(rnd.randint(60, 150)) + passage + text(rnd.randint(60, 150)) + footer + text(90)) for i in range(300)]
+    inner = suffixes.later_windows
+
+    def bounded(payloads, *args):
+        assert len(payloads) <= 100
+        return inner(payloads, *args)
+
+    monkeypatch.setattr(suffixes, "later_windows", bounded)
+    monkeypatch.setattr(suffixes, "BUCKET_BYTES", 2000)
+    monkeypatch.setattr(suffixes.repeated_windows, "__defaults__", (100, 40, 20))
+    seen, want = set(), {}
+    for i, t in rows:
+        raw = t.encode()
+        gone = bytearray(len(raw))
+        for k in range(len(raw) - 99):
+            if raw[k : k + 100] in seen:
+                gone[k : k + 100] = b"\1" * 100
+            seen.add(raw[k : k + 100])
+        kept = bytes(x for x, g in zip(raw, gone) if not g)
+        want[i] = (len(raw), sum(gone), hashlib.sha256(kept).hexdigest())
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = suffixes.remove_repeats(docs, with_bytes=False).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.kept_sha256) for r in got} == want
+
+
 def test_merged_transforms():
     rnd = random.Random(2)
     for _ in range(150):
