@@ -6,7 +6,8 @@ of exponentially distributed hashes on a logarithmic scale (base 1.001), truncat
 registers of a union are the larger of both. Classes whose registers agree in a whole band meet in a
 bucket; links to a bucket's smallest member gather buckets to clusters. In a cluster the likelihood of
 the registers, given both set sizes, drops pairs that are clearly below the threshold; the others
-are confirmed on the full sets, most alike first, and skipped once confirmed links connect them.
+are confirmed on the full sets, slice by slice of the members, most alike first in a slice, and skipped
+once confirmed links connect them, so that only a slice's pairs are in memory.
 Clusters beyond a size are dealt to tasks as pairs of blocks, so that any two members meet in a
 bounded task; only confirmed links leave a task, fewer than it has members. A pair at the threshold
 is missed by all bands with a probability below one in a million.
@@ -28,7 +29,9 @@ from cardlake.llm.components import components
 
 WORDS = 5
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 2  # the scale of a register
-BLOCK_BYTES = 16_000_000  # of shingles in one block of a cluster
+BLOCK_BYTES = 16_000_000  # of shingles and sketches in one block of a cluster
+BLOCK_MEMBERS = 4096
+SLICE = 64  # members compared with the others at a time
 DOUBT = 0.15  # pairs estimated this far below the threshold are dropped; over four deviations
 _STEPS = mix64(np.arange(11, 11 + WORDS, dtype=np.uint64)) | np.uint64(1)
 
@@ -113,25 +116,37 @@ def _links(reps, sizes, sketches, sets, sides, percent):
     sides: None for all pairs, else 0 or 1 for each member; only pairs of both sides count then.
     """
     m = len(reps)
-    pairs = []
-    for at in range(0, m, 64):
-        mine = slice(at, min(m, at + 64))
-        a, b = sketches[mine, None, :], sketches[None, :, :]
+    forest, out = _Forest(m), []
+    for at in range(0, m, SLICE):
+        end = min(m, at + SLICE)
+        of = np.array([forest.root(x) for x in range(at, m)], dtype=np.int64)
+        mine, theirs = of[: end - at], of
+        # members connected with the whole slice have nothing to add
+        apart = np.flatnonzero(~np.all(theirs[None, :] == mine[:, None], axis=0))
+        if not len(apart):
+            continue
+        others = at + apart
+        a, b = sketches[at:end, None, :], sketches[None, others, :]
         same = (a == b).sum(axis=2)
         above = (a > b).sum(axis=2)
-        sa, sb = sizes[mine, None], sizes[None, :]
+        sa, sb = sizes[at:end, None], sizes[None, others]
         fits = 100 * np.minimum(sa, sb) >= percent * np.maximum(sa, sb)
-        fits &= np.arange(at, mine.stop)[:, None] < np.arange(m)[None, :]
+        fits &= np.arange(at, end)[:, None] < others[None, :]
+        fits &= mine[:, None] != theirs[None, apart]
         if sides is not None:
-            fits &= sides[mine, None] != sides[None, :]
+            fits &= sides[at:end, None] != sides[None, others]
         fits &= at_least(
             above, sketches.shape[1] - same - above, same, sa, sb, percent / 100 - DOUBT
         )
         x, y = np.nonzero(fits)
-        pairs.append(np.stack([x + at, y, same[x, y]], axis=1))
-    pairs = np.concatenate(pairs) if pairs else np.zeros((0, 3), dtype=np.int64)
-    forest, out = _Forest(m), []
-    for x, y, _ in pairs[np.argsort(-pairs[:, 2], kind="stable")].tolist():
+        order = np.argsort(-same[x, y], kind="stable")
+        _confirm(zip((x[order] + at).tolist(), others[y[order]].tolist()), forest, reps, sets, percent, out)
+    return out
+
+
+def _confirm(pairs, forest, reps, sets, percent, out) -> None:
+    """Connect the pairs that are as alike as asked on their full sets and not connected yet."""
+    for x, y in pairs:
         rx, ry = forest.root(x), forest.root(y)
         if rx == ry:
             continue
@@ -143,7 +158,6 @@ def _links(reps, sizes, sketches, sets, sides, percent):
         if 100 * both >= percent * (len(a) + len(b) - both):
             forest.up[max(rx, ry)] = min(rx, ry)
             out.append((reps[x], reps[y]))
-    return out
 
 
 def sketch_documents(docs: DataFrame, registers: int) -> DataFrame:
@@ -209,10 +223,12 @@ def classes(docs: DataFrame, percent: int = 85) -> DataFrame:
     clusters = settle(components(near, "_rep", "_lead"), "clusters")
     # the members' sets, made anew from their texts
     members = clusters.join(reps.select(F.col("_rep").alias("node"), "_n", "_sketch"), "node")
-    weights = members.groupBy("root").agg(F.sum(F.col("_n") * 8).alias("_bytes"))
+    weights = members.groupBy("root").agg(
+        F.sum(F.col("_n") * 8 + F.length("_sketch")).alias("_bytes"), F.count("*").alias("_members")
+    )
     members = members.join(weights, "root").select(
         F.col("node").alias("_id"), F.col("root").alias("_cluster"), "_n", "_sketch",
-        F.ceil(F.col("_bytes") / BLOCK_BYTES).cast("int").alias("_blocks"),
+        F.ceil(F.greatest(F.col("_bytes") / BLOCK_BYTES, F.col("_members") / BLOCK_MEMBERS)).cast("int").alias("_blocks"),
     )
     texts = documents(docs).select(null_id("doc_id").alias("_id"), "text", F.xxhash64("text").alias("_h"))
     # a doc_id may repeat with another text: only the text of the class counts

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -91,6 +92,25 @@ def test_blocks_find_the_same_groups(docs, monkeypatch):
     assert {(r.doc_id, r.component_id) for r in neardup.near_duplicates(docs).collect()} == whole
 
 
+def test_links_of_many_near_equal_sets_stay_small():
+    """6,000 notices that differ in their last numbers: 18 million pairs were held at once."""
+    common = " ".join(f"w{i}" for i in range(60))
+    texts = [f"{common} n{i}" for i in range(6000)]
+    sets = [neardup.shingles(t) for t in texts]
+    sketches = np.stack([neardup.to_registers(neardup.smallest_hashes(s, 125)) for s in sets])
+    sizes = np.array([len(s) for s in sets])
+    for sides in (None, np.arange(6000) % 2):
+        tracemalloc.start()
+        links = neardup._links(list(range(6000)), sizes, sketches, sets, sides, 85)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        root = neardup._Forest(6000)
+        for a, b in links:
+            root.up[root.root(b)] = root.root(a)
+        assert len(links) == 5999 and len({root.root(i) for i in range(6000)}) == 1
+        assert peak < 250_000_000
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(50, 50), (60, 61), (61, 60), (None, 3)]
     got = {tuple(r) for r in components(spark.createDataFrame(edges, "a bigint, b bigint"), "a", "b").collect()}
