@@ -14,14 +14,16 @@ is missed by all bands with a probability below one in a million.
 
 Cases: A-Z are folded, words are runs without blanks; a text of one to four words is one shingle; a
 text without words (or null) is linked with nothing; repeated rows share a class; a null doc_id
-takes part as the smallest id; an empty table gives no rows; other columns are ignored.
+takes part as the smallest id; rows that share a doc_id (or have none) with different texts are
+different documents, the first of them the one whose text has the smallest hash; an empty table gives
+no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardlake.llm.common import documents, mix64, null_id, real_id, settle, ship_code, word_hashes
@@ -160,25 +162,36 @@ def _confirm(pairs, forest, reps, sets, percent, out) -> None:
             out.append((reps[x], reps[y]))
 
 
+def _set_key(found: np.ndarray) -> tuple[int, int]:
+    with np.errstate(over="ignore"):
+        k1 = found.sum(dtype=np.uint64).astype(np.int64)
+        k2 = mix64(found ^ np.uint64(77)).sum(dtype=np.uint64).astype(np.int64)
+    return int(k1), int(k2)
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    """_id, _h (of the text), text."""
+    return documents(docs).select(null_id("doc_id").alias("_id"), F.xxhash64("text").alias("_h"), "text")
+
+
 def sketch_documents(docs: DataFrame, registers: int) -> DataFrame:
-    """_id, _n (set size), _k1, _k2 (a 128-bit key of the set), _sketch for every document."""
+    """_id, _h, _n (set size), _k1, _k2 (a 128-bit key of the set), _sketch for every document."""
 
     def sketch(batches):
         for batch in batches:
             rows = []
             for text in batch["text"]:
                 found = shingles(text)
-                with np.errstate(over="ignore"):
-                    k1 = found.sum(dtype=np.uint64).astype(np.int64)
-                    k2 = mix64(found ^ np.uint64(77)).sum(dtype=np.uint64).astype(np.int64)
                 regs = to_registers(smallest_hashes(found, registers)) if len(found) else found
-                rows.append((len(found), int(k1), int(k2), regs.tobytes()))
+                rows.append((len(found), *_set_key(found), regs.tobytes()))
             out = pd.DataFrame(rows, columns=["_n", "_k1", "_k2", "_sketch"])
             out.insert(0, "_id", batch["_id"].to_numpy())
+            out.insert(1, "_h", batch["_h"].to_numpy())
             yield out
 
-    rows = documents(docs).select(null_id("doc_id").alias("_id"), "text")
-    return rows.mapInPandas(sketch, "_id bigint, _n bigint, _k1 bigint, _k2 bigint, _sketch binary")
+    return _rows(docs).mapInPandas(
+        sketch, "_id bigint, _h bigint, _n bigint, _k1 bigint, _k2 bigint, _sketch binary"
+    )
 
 
 def _bands(reps: DataFrame, rows: int) -> DataFrame:
@@ -201,17 +214,23 @@ def _bands(reps: DataFrame, rows: int) -> DataFrame:
 
 
 def classes(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """_id, _n, _root for every row of ``docs``: the smallest id among those linked with it."""
+    """_id, _h (of the text), _n, _root, _first for every row of ``docs``.
+
+    _root: the smallest id among the documents linked with it. _first: it is the first of them.
+    """
     ship_code(docs.sparkSession)
     rows = 5 if percent >= 85 else 4
     registers = 125 // rows * rows
     sketched = settle(sketch_documents(docs, registers), "sketches")
     full = sketched.filter("_n > 0")
     # written first, so that the join reads plain shuffles, which Spark can split where a class is hot
-    keys = settle(full.groupBy("_k1", "_k2").agg(F.min("_id").alias("_rep")), "class_keys")
+    keys = full.groupBy("_k1", "_k2").agg(F.min(F.struct("_id", "_h")).alias("_least"))
+    # numbers of the classes, kept by the written table
+    keys = settle(keys.select("*", F.monotonically_increasing_id().alias("_rep")), "class_keys")
+    mine = (F.col("_id") == F.col("_least._id")) & (F.col("_h") == F.col("_least._h"))
     known = settle(
         full.join(keys, ["_k1", "_k2"]).select(
-            "_id", "_n", "_rep", F.when(F.col("_id") == F.col("_rep"), F.col("_sketch")).alias("_sketch")
+            "_id", "_h", "_n", "_k1", "_k2", "_rep", "_least", F.when(mine, F.col("_sketch")).alias("_sketch")
         ),
         "classes",
     )
@@ -222,30 +241,32 @@ def classes(docs: DataFrame, percent: int = 85) -> DataFrame:
     near = bands.join(leads, "_band").filter("_rep != _lead").select("_rep", "_lead").distinct()
     clusters = settle(components(near, "_rep", "_lead"), "clusters")
     # the members' sets, made anew from their texts
-    members = clusters.join(reps.select(F.col("_rep").alias("node"), "_n", "_sketch"), "node")
+    members = clusters.join(
+        reps.select(F.col("_rep").alias("node"), "_id", "_h", "_n", "_k1", "_k2", "_sketch"), "node"
+    )
     weights = members.groupBy("root").agg(
         F.sum(F.col("_n") * 8 + F.length("_sketch")).alias("_bytes"), F.count("*").alias("_members")
     )
     members = members.join(weights, "root").select(
-        F.col("node").alias("_id"), F.col("root").alias("_cluster"), "_n", "_sketch",
+        F.col("node").alias("_rep"), F.col("root").alias("_cluster"), "_id", "_h", "_n", "_k1", "_k2", "_sketch",
         F.ceil(F.greatest(F.col("_bytes") / BLOCK_BYTES, F.col("_members") / BLOCK_MEMBERS)).cast("int").alias("_blocks"),
     )
-    texts = documents(docs).select(null_id("doc_id").alias("_id"), "text", F.xxhash64("text").alias("_h"))
-    # a doc_id may repeat with another text: only the text of the class counts
-    joined = texts.join(members, "_id")
+    # one text of each document; where hashes of texts are equal by chance, the set's key tells them apart
+    joined = _rows(docs).dropDuplicates(["_id", "_h"]).join(members, ["_id", "_h"])
 
     def with_sets(batches):
         for batch in batches:
             found = [shingles(t) for t in batch.pop("text")]
-            keep = np.array([len(f) for f in found], dtype=np.int64) == batch["_n"].to_numpy()
+            asked = zip(batch.pop("_k1"), batch.pop("_k2"))
+            keep = np.array([_set_key(f) == k for f, k in zip(found, asked)], dtype=bool)
             batch["_set"] = [f.tobytes() for f in found]
             yield batch[keep]
 
-    sets = joined.select("_id", "_cluster", "_n", "_sketch", "_blocks", "text").mapInPandas(
+    sets = joined.select("_rep", "_cluster", "_n", "_k1", "_k2", "_sketch", "_blocks", "text").mapInPandas(
         with_sets,
-        "_id bigint, _cluster bigint, _n bigint, _sketch binary, _blocks int, _set binary",
+        "_rep bigint, _cluster bigint, _n bigint, _sketch binary, _blocks int, _set binary",
     )
-    block = F.pmod(F.xxhash64("_id"), F.col("_blocks")).cast("int")
+    block = F.pmod(F.xxhash64("_rep"), F.col("_blocks")).cast("int")
     dealt = (
         sets.withColumn("_own", block)
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
@@ -254,10 +275,10 @@ def classes(docs: DataFrame, percent: int = 85) -> DataFrame:
     )
 
     def confirm(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("_id").sort_values("_id")
+        group = group.sort_values("_rep")
         own, x, y = group["_own"].to_numpy(), group["_x"].iloc[0], group["_y"].iloc[0]
         links = _links(
-            group["_id"].tolist(),
+            group["_rep"].tolist(),
             group["_n"].to_numpy(),
             np.stack([np.frombuffer(s, dtype=np.uint16) for s in group["_sketch"]]),
             [np.frombuffer(s, dtype=np.uint64) for s in group["_set"]],
@@ -270,9 +291,16 @@ def classes(docs: DataFrame, percent: int = 85) -> DataFrame:
         dealt.groupBy("_cluster", "_x", "_y").applyInPandas(confirm, "a bigint, b bigint"), "links"
     )
     roots = components(confirmed, "a", "b").select(F.col("node").alias("_rep"), "root")
-    linked = known.select("_id", "_n", "_rep").join(roots, "_rep", "left")
-    alone = sketched.filter("_n = 0").select("_id", "_n", F.col("_id").alias("_root"))
-    return linked.select("_id", "_n", F.coalesce("root", "_rep").alias("_root")).union(alone)
+    leasts = roots.join(keys.select("_rep", "_least"), "_rep").groupBy("root").agg(F.min("_least").alias("_all"))
+    found = roots.join(leasts, "root").select("_rep", "_all")
+    linked = known.select("_id", "_h", "_n", "_rep", "_least").join(found, "_rep", "left")
+    least = F.coalesce("_all", "_least")
+    linked = linked.select(
+        "_id", "_h", "_n", least["_id"].alias("_root"),
+        ((F.col("_id") == least["_id"]) & (F.col("_h") == least["_h"])).alias("_first"),
+    )
+    alone = sketched.filter("_n = 0").select("_id", "_h", "_n", F.col("_id").alias("_root"), F.lit(True))
+    return linked.union(alone)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -281,12 +309,24 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         real_id("_id").alias("doc_id"),
         F.col("_n").alias("n_shingles"),
         real_id("_root").alias("component_id"),
-        (F.col("_id") == F.col("_root")).alias("kept"),
+        F.col("_first").alias("kept"),
     )
 
 
 def keep_first(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The first document of each group, with all its columns."""
-    lost = classes(docs, percent).filter("_id != _root").select(real_id("_id").alias("_lost"))
-    lost = lost.distinct()
-    return docs.join(lost, docs["doc_id"].cast("bigint").eqNullSafe(lost["_lost"]), "left_anti")
+    """One row of the first document of each group, with all its columns; texts without words all stay."""
+    lost = classes(docs, percent).filter("NOT _first").select("_id", "_h").distinct()
+    text = F.coalesce("text", F.lit(""))
+    # of rows that repeat doc_id and text one stays, the same one in every run
+    others = [F.col(f"`{name}`") for name, kind in docs.dtypes if "map<" not in kind]
+    document = docs.select(
+        null_id(F.col("doc_id").cast("bigint")).alias("_id"),
+        F.xxhash64(text).alias("_h"),
+        F.xxhash64(*others).alias("_tie"),
+        text.rlike("[^\\x20\\x09-\\x0D]").alias("_words"),
+        F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("_row"),
+    )
+    same = Window.partitionBy("_id", "_h").orderBy("_tie")
+    once = document.filter("_words").withColumn("_place", F.row_number().over(same)).filter("_place = 1")
+    kept = once.join(lost, ["_id", "_h"], "left_anti").select("_row")
+    return kept.union(document.filter("NOT _words").select("_row")).select("_row.*")

@@ -92,6 +92,29 @@ def test_blocks_find_the_same_groups(docs, monkeypatch):
     assert {(r.doc_id, r.component_id) for r in neardup.near_duplicates(docs).collect()} == whole
 
 
+def test_rows_that_share_or_lack_a_doc_id(spark):
+    rnd = random.Random(12)
+    text = lambda: " ".join(f"w{rnd.randrange(9999)}" for _ in range(80))
+    a, b, c, d = (text() for _ in range(4))
+    rows = [
+        (None, a), (None, b), (None, a), (None, c + " end"), (3, a + " end"), (4, b + " end"), (5, c),
+        (7, d), (8, d + " end"), (8, text()), (9, text()), (9, text()), (20, d), (20, d), (None, ""), (None, None),
+    ]
+    rows = [(i, t, n) for n, (i, t) in enumerate(rows)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n int").repartition(5)
+    want = Counter({(i, t) for i, t, n in rows if n not in (4, 5, 6, 8, 12, 13) and t})
+    for percent in (80, 85):
+        got = neardup.near_duplicates(docs, percent).collect()
+        assert Counter((r.doc_id, r.component_id) for r in got) == Counter(
+            (i, None if n in (4, 5, 6) else 7 if n in (8, 12, 13) else i) for i, t, n in rows
+        )
+    kept = neardup.keep_first(docs)
+    assert kept.columns == docs.columns
+    kept = kept.collect()
+    assert Counter((r.doc_id, r.text) for r in kept if r.text) == want
+    assert sum(not r.text for r in kept) == 2
+
+
 def test_links_of_many_near_equal_sets_stay_small():
     """6,000 notices that differ in their last numbers: 18 million pairs were held at once."""
     common = " ".join(f"w{i}" for i in range(60))
