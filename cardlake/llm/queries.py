@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.llm import ann, fingerprints, lm, neardup, packing, quality, sharding, spiece, substrings, suffixes
+from cardlake.llm import (
+    ann, audit, fingerprints, lm, neardup, packing, quality, resampling, sharding, spiece, substrings, suffixes,
+)
 from cardlake.llm.common import read
 
 
@@ -66,6 +68,16 @@ def op10_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.divergence(read(spark, sf_dir, "documents"), least_docs=30, top=50)
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), percent=5, least_words=20
+    )
+
+
 QUERIES = {
     "op1_pruned_graph_ann": op1_pruned_graph_ann,
     "op2_syncmer_fingerprints": op2_syncmer_fingerprints,
@@ -77,5 +89,7 @@ QUERIES = {
     "op8_setsketch_neardup": op8_setsketch_neardup,
     "op9_minimax_shards": op9_minimax_shards,
     "op10_fourier_quality": op10_fourier_quality,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_importance_resampling": op12_importance_resampling,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op11_source_divergence": audit.DIVERGENCE_SQL}
