@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardlake.llm import (
-    ann, audit, fingerprints, lm, neardup, packing, quality, resampling, sharding, spiece, substrings, suffixes,
+    ann, audit, fingerprints, lm, neardup, packing, quality, resampling, secret_scan, sharding, spiece, substrings,
+    suffixes,
 )
 from cardlake.llm.common import read
 
@@ -78,6 +79,10 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_crf_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_documents(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pruned_graph_ann": op1_pruned_graph_ann,
     "op2_syncmer_fingerprints": op2_syncmer_fingerprints,
@@ -91,5 +96,6 @@ QUERIES = {
     "op10_fourier_quality": op10_fourier_quality,
     "op11_source_divergence": op11_source_divergence,
     "op12_importance_resampling": op12_importance_resampling,
+    "op13_crf_secrets": op13_crf_secrets,
 }
 ORACLE: dict[str, str] = {"op11_source_divergence": audit.DIVERGENCE_SQL}
