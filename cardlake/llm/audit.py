@@ -151,17 +151,22 @@ def _differences(key, entries: pd.DataFrame, sources: pd.DataFrame) -> pd.DataFr
     term, terms = pd.factorize(entries["term"])
     table = np.tile(zero, (len(terms), 1))
     table[term, pd.Index(names).get_indexer(entries["source"])] = entries["p"].to_numpy(dtype=np.int64)
-    found = []
+    pairs, values = [], []
     for i in np.flatnonzero(block == low):
         others = np.flatnonzero(block == high)
         others = others[others > i] if low == high else others
-        if len(others):
-            value = np.abs(table[:, others] - table[:, [i]]).sum(axis=0)
-            value -= len(terms) * np.abs(zero[others] - zero[i])
-            found.append(pd.DataFrame({"source": names[i], "item": names[others], "more": value}))
-    if not found:
-        return pd.DataFrame({"lang": [], "source": [], "item": [], "more": []})
-    return pd.concat(found).assign(lang=lang)[["lang", "source", "item", "more"]]
+        value = np.abs(table[:, others] - table[:, [i]]).sum(axis=0)
+        values += (value - len(terms) * np.abs(zero[others] - zero[i])).tolist()
+        pairs += [(names[i], names[k]) for k in others]
+    columns = [pd.Series([p[k] for p in pairs], dtype=object) for k in (0, 1)]
+    return pd.DataFrame(
+        {
+            "lang": pd.Series([lang] * len(pairs), dtype=object),
+            "source": columns[0],
+            "item": columns[1],
+            "more": pd.Series(values, dtype="int64"),
+        }
+    )
 
 
 def divergence(docs: DataFrame, least_docs: int = 30, top: int = 50) -> DataFrame:
