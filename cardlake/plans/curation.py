@@ -148,3 +148,18 @@ CURATE = {
     "users": curate_users,
     "orgs": curate_orgs,
 }
+
+# Key column of each curated table, and which of several rows with one key is preferred; ties go by all
+# other columns (see ``one_per_key``).
+SURVIVORS: dict[str, tuple[str, tuple[str, ...]]] = {
+    "transactions": ("id", ()),
+    "clearing": ("transaction_id", ()),
+    "cards": ("id", ("updated_at",)),
+    "users": ("id", ("updated_at",)),
+    "orgs": ("id", ("updated_at",)),
+}
+
+
+def preferred(source: str) -> list[Column]:
+    """The latest of the preferred columns first, missing ones last."""
+    return [F.col(c).desc_nulls_last() for c in SURVIVORS[source][1]]
