@@ -134,7 +134,7 @@ def agg_percentile_cont(lake):
     )
     groups = ["merchant_country", "transaction_currency"]
     marks = {"median_days": 0.5, "p95_days": 0.95, "max_days": 1.0}
-    found = quantiles.exact_quantiles(lagged, groups, "days", marks, slice_width=64)
+    found = quantiles.exact_quantiles(lagged, groups, "days", marks, slice_width=1)
     return found.select(*groups, *(F.round(m, 4).alias(m) for m in marks))
 
 

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cardlake.sources.shared import settle
+
 
 def exact_quantiles(
     df: DataFrame,
@@ -17,35 +20,41 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per group with an exact, linearly interpolated quantile per given name.
 
-    ``value`` is an integer column. Equal values are counted first. The values are then cut into
-    slices of ``slice_width``; running totals over slices place each slice, and running totals
-    inside a slice place each value, so a window partition holds at most ``slice_width`` distinct
-    values or the list of slices. Pick the width near the square root of the value range.
+    ``value`` is an integer column. Ranks are found by refinement. The values are cut into slices of
+    ``slice_width``, and rows are counted by slice, so a row for each slice and task is all that is
+    shuffled. Running totals over the slices tell which of them hold a wanted rank, at most two for
+    each quantile. Only rows of these are read again, counted by value and placed; the few wanted
+    slices are written first, so Spark knows that they are small and keeps other rows from the
+    shuffle. Pick the width near the square root of the value range, or 1 where there are few
+    different values: the slices are the values then, and one pass is enough.
     """
     groups = list(groups)
-    counted = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*groups, F.col(value).alias("_v"))
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_slice", F.floor(F.col("_v") / F.lit(slice_width)))
-    )
-    slices = counted.groupBy(*groups, "_slice").agg(F.sum("_n").alias("_slice_rows"))
+    held = df.filter(F.col(value).isNotNull()).select(*groups, F.col(value).alias("_v"))
+    sliced = held.withColumn("_slice", F.floor(F.col("_v") / F.lit(slice_width)))
+    counted = sliced.groupBy(*groups, "_slice").agg(F.count("*").alias("_n"))
     whole = Window.partitionBy(*groups)
-    earlier = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    placed = slices.select(
-        *groups,
-        "_slice",
-        F.coalesce(F.sum("_slice_rows").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_slice_rows").over(whole).alias("_total"),
-    )
-    inside = Window.partitionBy(*groups, "_slice").orderBy("_v")
-    spans = _join_groups(counted, placed, [*groups, "_slice"]).select(
-        *groups,
-        "_v",
-        "_total",
-        (F.col("_before") + F.sum("_n").over(inside)).alias("_end"),
-        "_n",
+    upto = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    slices = counted.select(
+        *groups, "_slice", "_n", F.sum("_n").over(upto).alias("_end"), F.sum("_n").over(whole).alias("_total")
     )
+    if slice_width == 1:
+        spans = slices.withColumnRenamed("_slice", "_v")
+    else:
+        first, places = F.col("_end") - F.col("_n"), []
+        for p in probabilities.values():
+            at = F.lit(p) * (F.col("_total") - 1)
+            places += [F.floor(at), F.ceil(at)]
+        holds = reduce(lambda a, b: a | b, ((at >= first) & (at < F.col("_end")) for at in places))
+        wanted = slices.filter(holds).select(*groups, "_slice", first.alias("_before"), "_total")
+        inside = Window.partitionBy(*groups, "_slice").orderBy("_v")
+        spans = (
+            _join_groups(sliced, settle(wanted, "wanted_slices"), [*groups, "_slice"])
+            .groupBy(*groups, "_slice", "_v", "_before", "_total")
+            .agg(F.count("*").alias("_n"))
+            .select(
+                *groups, "_v", "_total", "_n", (F.col("_before") + F.sum("_n").over(inside)).alias("_end")
+            )
+        )
     # A value covers the zero-based positions [end - n, end); a quantile sits at p * (total - 1).
     first = F.col("_end") - F.col("_n")
     picks = []

@@ -8,6 +8,7 @@ they occur in through an equi-join on substrings.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,39 +44,51 @@ def constant_dictionary(spark, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     return spark.createDataFrame(rows, "old string, new string, rank bigint")
 
 
-def _beginnings(dictionary: DataFrame, start: Column) -> DataFrame:
-    """Beginnings of entries with the lengths of the entries that begin so."""
+def _beginnings(dictionary: DataFrame) -> DataFrame:
+    """Beginnings of entries (four characters, or the whole of a shorter entry) with their lengths."""
+    start = F.least(F.length("old"), F.lit(_BEGINNING))
     found = dictionary.groupBy(F.left("old", start).alias("beginning"))
     return found.agg(F.collect_set(F.length("old")).alias("lengths"))
 
 
-def _entries_in(texts: DataFrame, dictionary: DataFrame, beginnings: DataFrame) -> DataFrame:
-    """(text, entry) for every dictionary entry that occurs in one of the text's ``forms``.
-
-    Places of a form are first matched with the short table of entry beginnings, which also tells
-    the lengths to look at; only the substrings left are matched with the dictionary itself. Both
-    tables are read from files, so Spark knows their sizes and broadcasts them only if small.
-    """
-    start = _start(dictionary)
-    form, at = F.col("form"), F.col("at")
-    places = (
-        texts.select("text", F.explode("forms").alias("form"))
-        .select("text", "form", F.explode(F.sequence(F.lit(1), F.length(form))).alias("at"))
-        .withColumn("beginning", F.substring(form, at, start))
-    )
-    pieces = (
-        places.join(beginnings, "beginning")
-        .select("text", "form", "at", F.explode("lengths").alias("n"))
-        .filter(at + F.col("n") - 1 <= F.length(form))
-        .select("text", F.substring(form, at, F.col("n")).alias("old"))
-    )
-    # Longest first, then by rank: the order in which entries are applied.
-    entry = F.struct((-F.length("old")).alias("shortness"), "rank", "old", "new")
-    return pieces.join(dictionary, "old").select("text", entry.alias("entry"))
-
-
-def _start(dictionary: DataFrame) -> Column:
-    return dictionary.agg(F.least(F.min(F.length("old")), F.lit(_BEGINNING))).scalar()
+class _Index:
+    """A dictionary laid out for finding its entries in texts."""
+
+    def __init__(self, dictionary: DataFrame):
+        kept = dictionary.filter(F.length("old") > 0).select("old", "new", "rank")
+        self.entries = settle(kept, "dictionary")
+        self.beginnings = settle(_beginnings(self.entries), "beginnings")
+        # at most _BEGINNING numbers
+        sizes = self.beginnings.select(F.length("beginning").alias("n")).distinct().collect()
+        self.sizes = sorted(r["n"] for r in sizes)
+
+    def found_in(self, texts: DataFrame) -> DataFrame:
+        """(text, found): the entries that occur in one of the text's ``forms``, in order of use.
+
+        Places of a form are first matched with the short table of entry beginnings, which also tells
+        the lengths to look at; only the substrings left are matched with the dictionary itself. A
+        short entry meets a beginning of its own length, so it makes no candidates for longer ones.
+        Both tables are read from files, so Spark knows their sizes and broadcasts them only if small.
+        """
+        form, at = F.col("form"), F.col("at")
+        starts = F.explode(F.array(*(F.lit(n) for n in self.sizes)))
+        places = (
+            texts.select("text", F.explode("forms").alias("form"))
+            .select("text", "form", F.explode(F.sequence(F.lit(1), F.length(form))).alias("at"))
+            .select("text", "form", "at", starts.alias("start"))
+            .filter(at + F.col("start") - 1 <= F.length(form))
+            .withColumn("beginning", F.substring(form, at, F.col("start")))
+        )
+        pieces = (
+            places.join(self.beginnings, "beginning")
+            .select("text", "form", "at", F.explode("lengths").alias("n"))
+            .filter(at + F.col("n") - 1 <= F.length(form))
+            .select("text", F.substring(form, at, F.col("n")).alias("old"))
+        )
+        # Longest first, then by rank: the order in which entries are applied.
+        entry = F.struct((-F.length("old")).alias("shortness"), "rank", "old", "new")
+        met = pieces.join(self.entries, "old").select("text", entry.alias("entry"))
+        return met.groupBy("text").agg(F.array_sort(F.collect_set("entry")).alias("found"))
 
 
 def _apply(entries: Column, text: Column) -> Column:
@@ -92,30 +105,42 @@ def replacements_for(texts: DataFrame, dictionary: DataFrame) -> DataFrame:
     """(text, replaced) for each of the distinct texts that an entry occurs in.
 
     Entries are sought in the text and in every form it takes on the way, because a replacement
-    can complete the text of a shorter entry. Rounds go on until no text gains an entry; then
-    applying only the found entries equals applying the whole dictionary.
+    can complete the text of a shorter entry. A round applies what is known of a text and searches
+    the forms that are new; a text that gains no entry is finished and leaves. Applying only the found
+    entries then equals applying the whole dictionary.
     """
-    dictionary = settle(
-        dictionary.filter(F.length("old") > 0).select("old", "new", "rank"), "dictionary"
-    )
-    beginnings = settle(_beginnings(dictionary, _start(dictionary)), "beginnings")
-    found = _entries_in(texts.withColumn("forms", F.array("text")), dictionary, beginnings)
+    index = _Index(dictionary)
+    none = texts.sparkSession.createDataFrame([], "text string, replaced string")
+    if not index.sizes:
+        return none
+    known = index.found_in(texts.withColumn("forms", F.array("text")))
+    active = known.select("text", F.col("found").alias("entries"), F.array("text").alias("searched"))
+    finished = []
     while True:
         state = settle(
-            found.groupBy("text")
-            .agg(F.array_sort(F.collect_set("entry")).alias("entries"))
-            .withColumn("forms", _apply(F.col("entries"), F.col("text")))
+            active.withColumn("forms", _apply(F.col("entries"), F.col("text")))
             .withColumn("replaced", F.element_at("forms", -1))
-            .withColumn("forms", F.array_distinct("forms")),
+            .withColumn("forms", F.array_except("forms", "searched")),
             "replaced",
         )
-        known = state.select("text", F.explode("entries").alias("entry"))
-        changed = state.filter(F.size("forms") > 1).select("text", "forms")
-        met = _entries_in(changed, dictionary, beginnings)
-        gained = settle(met.join(known, ["text", "entry"], "left_anti"), "gained")
+        met = index.found_in(state.filter(F.size("forms") > 0).select("text", "forms"))
+        more = F.array_except("found", "entries")
+        gained = settle(
+            met.join(state, "text")
+            .withColumn("more", more)
+            .filter(F.size("more") > 0)
+            .select("text", "entries", "more", "searched", "forms"),
+            "gained",
+        )
         if gained.isEmpty():
-            return state.select("text", "replaced")
-        found = known.unionByName(gained)
+            finished.append(state.select("text", "replaced"))
+            return reduce(DataFrame.unionByName, finished)
+        finished.append(state.join(gained.select("text"), "text", "left_anti").select("text", "replaced"))
+        active = gained.select(
+            "text",
+            F.array_sort(F.array_union("entries", "more")).alias("entries"),
+            F.array_union("searched", "forms").alias("searched"),
+        )
 
 
 def replace_in_columns(
