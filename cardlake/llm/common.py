@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import hashlib
 import math
 import tempfile
 import time
@@ -136,7 +137,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(33))
 
 
-#: What each byte value counts in a hash.
+#: What each byte value counts in a sum over places.
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 _powers = {}
 
@@ -157,15 +158,35 @@ def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
+#: The first k bytes of a little-endian word.
+_HEAD = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], dtype=np.uint64)
+_LONG = 64
+
+
 def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte strings data[start:end]; equal strings hash alike anywhere."""
-    n = len(data)
-    up, down = _power_table(n + 1)
+    """64-bit hashes of the byte strings data[start:end]; equal strings hash alike anywhere.
+
+    Eight bytes at a time enter a scrambled state that starts from the length, so strings of up to eight
+    bytes and one length never collide. Strings of over 64 bytes are hashed by BLAKE2b. A sum of powers
+    would not do here: modulo 2**64 it gives some different strings, as the two halves of a long
+    Thue-Morse sequence, one hash.
+    """
+    lengths = ends - starts
+    padded = np.concatenate((data, np.zeros(8, dtype=np.uint8)))
+    eight = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
     with np.errstate(over="ignore"):
-        prefix = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[data] * up[:n], out=prefix[1:])
-        length = (ends - starts).astype(np.uint64)
-        return mix64((prefix[ends] - prefix[starts]) * down[starts] + length * np.uint64(_BASE))
+        hashes = mix64(lengths.astype(np.uint64) * np.uint64(_BASE))
+        hashes = mix64(hashes ^ (eight[starts] & _HEAD[np.minimum(lengths, 8)]))
+        more, at = np.flatnonzero(lengths > 8), 8
+        while len(more) and at < _LONG:
+            part = eight[starts[more] + at] & _HEAD[np.minimum(lengths[more] - at, 8)]
+            hashes[more] = mix64(hashes[more] * np.uint64(_BASE) ^ part)
+            at += 8
+            more = more[lengths[more] > at]
+    for i in more.tolist():
+        digest = hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
+        hashes[i] = int.from_bytes(digest, "little")
+    return hashes
 
 
 def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
