@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from cardlake.entries.lake import CALENDAR, query
@@ -146,11 +148,26 @@ def fact_clearing(lake):
 def fact_layout(lake):
     sort = ["date_key", "status"]
     fact = lake.star("fact_transactions").select("transaction_key", "card_key", *sort)
-    stored = warehouse.lay_out_fact(fact, "laid_out_fact", lake.path("laid_out_fact"), 8, sort)
+    table = f"laid_out_fact_{uuid.uuid4().hex[:12]}"
+    stored = warehouse.lay_out_fact(fact, table, lake.path("laid_out_fact"), sort)
     cards = lake.star("dim_cards").select("card_key", "card_type")
     return stored.join(cards, "card_key", "left")
 
 
+@query("fact_layout_skipping")
+def fact_layout_skipping(lake):
+    """Rows of one month in a clustered fact; whether a reader leaves three files in four alone."""
+    fact = lake.star("fact_transactions").select("transaction_key", "card_key", "date_key", "status")
+    sizes = max(1, fact.count() // 64)
+    stored = warehouse.cluster_fact(fact, lake.path("clustered_fact"), ["date_key", "status"], sizes)
+    first, last = 19970301, 19970331
+    rows = stored.filter(F.col("date_key").between(first, last)).agg(F.count("*").alias("rows_in_month"))
+    files = warehouse.files_met(stored, "date_key", first, last)
+    return rows.crossJoin(F.broadcast(files)).select(
+        "rows_in_month", (F.col("files_met") * 4 <= F.col("files")).alias("most_files_skipped")
+    )
+
+
 @query("warehouse_constraints")
 def warehouse_constraints(lake):
     names = {t for t, *_ in warehouse.CONSTRAINTS}

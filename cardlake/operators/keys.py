@@ -46,16 +46,17 @@ def dense_key(df: DataFrame, order: Sequence[Column], name: str, start: int = 1)
 
 
 def number_by_id(df: DataFrame, ids: DataFrame, id_column: str, name: str) -> DataFrame:
-    """Add the dense ordinal of a unique id to wide rows.
+    """Add the dense ordinal of a unique id, and what else ``ids`` holds, to wide rows.
 
     Only the narrow ``ids`` table is sampled, range-partitioned and settled; the wide rows are
     computed once and meet their number in a join on the id.
     """
+    others = [c for c in ids.columns if c != id_column and c not in df.columns]
     numbered = dense_key(
-        ids.select(F.col(id_column).alias("_id")), [F.col("_id").asc_nulls_first()], name
+        ids.select(F.col(id_column).alias("_id"), *others), [F.col("_id").asc_nulls_first()], name
     )
     same = F.col(id_column).eqNullSafe(F.col("_id"))
-    return df.join(numbered, same).select(name, *df.columns)
+    return df.join(numbered, same).select(name, *df.columns, *others)
 
 
 def ordinal_by_number(df: DataFrame, id_column: str, name: str) -> DataFrame:

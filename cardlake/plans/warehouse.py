@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -10,9 +11,10 @@ from pyspark.sql import functions as F
 
 from cardlake.functions import calendar
 from cardlake.operators.dedup import one_per_key, surplus_rows
-from cardlake.operators.joins import null_safe_lookup, orphans
+from cardlake.operators.joins import orphans
 from cardlake.operators.keys import dense_key, number_by_id
-from cardlake.sources.datasets import load_columns
+from cardlake.operators.lookups import SHARE, frequent_hashes, key_hash, lookup
+from cardlake.sources.datasets import drop_external, load_columns
 
 # Target column → curated column.
 ORGANIZATION_COLUMNS = {
@@ -149,25 +151,28 @@ def dim_dates(spark: SparkSession, first: str = "2020-01-01", last: str = "2030-
     return days.select(*(c.alias(n) for n, c in calendar.calendar_parts(F.col("day")).items()))
 
 
+MERCHANT_PAIRS = (
+    ("merchant_normalized", "merchant_name"),
+    ("merchant_city", "merchant_city"),
+    ("merchant_country", "merchant_country"),
+    ("mcc", "mcc"),
+)
+
+
 def resolve_keys(
     transactions: DataFrame, cards: DataFrame, organizations: DataFrame, merchants: DataFrame
 ) -> DataFrame:
     """Transactions with card, organisation, merchant and date keys; unknown ones get NULL.
 
-    Cards and organisations are joined to each other first, so the large side is joined once by
-    card and once by merchant. All dimension join keys are unique: no row multiplies.
+    Cards and organisations are joined to each other first, so rows are looked up once by card and once
+    by merchant. All dimension join keys are unique: no row multiplies. Cards and merchants that hold
+    many rows, and rows without a card, stay out of the shuffles (see ``lookups``).
     """
     owners = cards.select("card_key", "card_id", "org_id").join(
         organizations.select("org_key", "org_id"), "org_id", "left"
     )
-    carded = transactions.join(owners.drop("org_id"), "card_id", "left")
-    pairs = [
-        ("merchant_normalized", "merchant_name"),
-        ("merchant_city", "merchant_city"),
-        ("merchant_country", "merchant_country"),
-        ("mcc", "mcc"),
-    ]
-    return null_safe_lookup(carded, merchants, pairs, ["merchant_key"]).withColumn(
+    carded = lookup(transactions, owners, [("card_id", "card_id")], ["card_key", "org_key"])
+    return lookup(carded, merchants, MERCHANT_PAIRS, ["merchant_key"], missing_matches=True).withColumn(
         "date_key", calendar.date_key(F.col("transaction_timestamp"))
     )
 
@@ -175,25 +180,38 @@ def resolve_keys(
 def fact_transactions(
     transactions: DataFrame, cards: DataFrame, organizations: DataFrame, merchants: DataFrame
 ) -> DataFrame:
-    rows = resolve_keys(transactions, cards, organizations, merchants).select(
-        F.col("id").alias("transaction_id"),
-        "card_key",
-        "org_key",
-        "merchant_key",
-        "date_key",
-        *FACT_MEASURES,
+    """Transactions with their keys and a dense number in the order of their ids.
+
+    Only ids and the columns that keys are found by go through the lookups and are numbered; whole
+    rows are shuffled once, by id, to meet their keys.
+    """
+    sought = ("id", "card_id", "transaction_timestamp", *(a for a, _ in MERCHANT_PAIRS))
+    found = resolve_keys(transactions.select(*sought), cards, organizations, merchants)
+    keys = found.select(
+        F.col("id").alias("transaction_id"), "card_key", "org_key", "merchant_key", "date_key"
+    )
+    rows = transactions.select(F.col("id").alias("transaction_id"), *FACT_MEASURES)
+    numbered = number_by_id(rows, keys, "transaction_id", "transaction_key")
+    return numbered.select(
+        "transaction_key", "transaction_id", "card_key", "org_key", "merchant_key", "date_key", *FACT_MEASURES
     )
-    ids = transactions.select(F.col("id").alias("transaction_id"))
-    return number_by_id(rows, ids, "transaction_id", "transaction_key")
 
 
 def fact_clearing(clearing: DataFrame, transactions: DataFrame) -> DataFrame:
-    """Clearing rows; the card key comes from the fact transaction with the same id."""
-    rows = load_columns(clearing, CLEARING_COLUMNS).withColumn(
-        "date_key", calendar.date_key(F.col("capture_date_utc"))
+    """Clearing rows; the card key comes from the fact transaction with the same id.
+
+    Ids meet their card key and their number first; whole rows are shuffled once, by id.
+    """
+    rows = load_columns(clearing, CLEARING_COLUMNS).select(
+        "*",
+        calendar.date_key(F.col("capture_date_utc")).alias("date_key"),
+        F.lit(None).cast("string").alias("approval_code"),
     )
-    carded = rows.join(transactions.select("transaction_id", "card_key"), "transaction_id", "left")
-    ordered = carded.withColumn("approval_code", F.lit(None).cast("string")).select(
+    ids = clearing.select(F.col("transaction_id").alias("clearing_id"))
+    cards = transactions.select(F.col("transaction_id").alias("clearing_id"), "card_key")
+    keys = ids.join(cards, "clearing_id", "left")
+    return number_by_id(rows, keys, "clearing_id", "clearing_key").select(
+        "clearing_key",
         "clearing_id",
         "transaction_id",
         "card_key",
@@ -201,25 +219,64 @@ def fact_clearing(clearing: DataFrame, transactions: DataFrame) -> DataFrame:
         "approval_code",
         *(c for c in CLEARING_COLUMNS if c not in ("clearing_id", "transaction_id")),
     )
-    ids = clearing.select(F.col("transaction_id").alias("clearing_id"))
-    return number_by_id(ordered, ids, "clearing_id", "clearing_key")
 
 
 def lay_out_fact(
-    fact: DataFrame, table: str, path: str, buckets: int, sort_by: Sequence[str]
+    fact: DataFrame,
+    table: str,
+    path: str,
+    sort_by: Sequence[str],
+    rows_per_bucket: int = 4_000_000,
+    buckets: int | None = None,
 ) -> DataFrame:
-    """Store a fact bucketed by card, sorted within buckets, with table statistics."""
-    spark = fact.sparkSession
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    (
-        fact.write.bucketBy(buckets, "card_key")
-        .sortBy(*sort_by)
-        .option("path", path)
-        .format("parquet")
-        .saveAsTable(table)
+    """Store a fact by card, sorted within buckets, with table statistics.
+
+    The number of buckets follows from the rows unless it is given, as for a table to join with. Cards that hold many rows, and rows without a card, would
+    overfill a bucket; they are stored beside the buckets, in ranges of ``sort_by`` of even size. Reading
+    gives both. External tables of the two names are replaced; managed ones are refused.
+    """
+    spark, beside = fact.sparkSession, f"{table}_spread"
+    for name in (table, beside):
+        drop_external(spark, name)
+    buckets = buckets or max(1, math.ceil(fact.count() / rows_per_bucket))
+    known = fact.filter(F.col("card_key").isNotNull())
+    hot = frequent_hashes(known, ["card_key"], share=max(SHARE, 1 / buckets))
+    spread = key_hash(["card_key"]).isin(hot) | F.col("card_key").isNull()
+    bucketed = fact.filter(~spread).write.bucketBy(buckets, "card_key").sortBy(*sort_by)
+    bucketed.option("path", f"{path}/buckets").format("parquet").saveAsTable(table)
+    ranges = in_ranges(fact.filter(spread), sort_by).write.option("path", f"{path}/spread")
+    ranges.format("parquet").saveAsTable(beside)
+    for name in (table, beside):
+        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR COLUMNS {', '.join(sort_by)}")
+    return spark.table(table).unionByName(spark.table(beside))
+
+
+def in_ranges(df: DataFrame, order: Sequence[str], rows_per_file: int | None = None) -> DataFrame:
+    """Rows range-partitioned and sorted by ``order``; a hash of the row splits ranges of equal values."""
+    tie = F.xxhash64(*(F.col(f"`{c}`") for c in df.columns))
+    by = [*(F.col(c) for c in order), tie]
+    if rows_per_file:
+        parts = max(1, math.ceil(df.count() / rows_per_file))
+        return df.repartitionByRange(parts, *by).sortWithinPartitions(*order)
+    return df.repartitionByRange(*by).sortWithinPartitions(*order)
+
+
+def cluster_fact(fact: DataFrame, path: str, order: Sequence[str], rows_per_file: int = 4_000_000) -> DataFrame:
+    """Store a fact in files that each cover a narrow range of ``order``, so that filters skip files."""
+    in_ranges(fact, order, rows_per_file).write.mode("overwrite").parquet(path)
+    return fact.sparkSession.read.parquet(path)
+
+
+def files_met(stored: DataFrame, column: str, low, high) -> DataFrame:
+    """files, files_met: how many files there are, and in how many a value of the range may lie.
+
+    Like a reader, it looks at the least and the largest value of each file.
+    """
+    files = stored.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.min(column).alias("least"), F.max(column).alias("most")
     )
-    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS {', '.join(sort_by)}")
-    return spark.table(table)
+    met = (F.col("least") <= F.lit(high)) & (F.col("most") >= F.lit(low))
+    return files.agg(F.count("*").alias("files"), F.count_if(met).alias("files_met"))
 
 
 # (table, kind, column, parent table, parent column)

@@ -76,10 +76,7 @@ def register_tables(spark: SparkSession, datasets: Mapping[str, tuple[str, str]]
     for name, (fmt, path) in datasets.items():
         reader = spark.read.option("header", True).option("mergeSchema", fmt == "parquet")
         found = reader.format(fmt).load(path)
-        if spark.catalog.tableExists(name):
-            if spark.catalog.getTable(name).tableType == "MANAGED":
-                raise ValueError(f"a managed table has this name: {name}")
-            spark.sql(f"DROP TABLE {name}")
+        drop_external(spark, name)
         options = {"path": path, "header": "true", "mergeSchema": str(fmt == "parquet").lower()}
         if fmt == "csv":
             options["enforceSchema"] = "false"
@@ -95,6 +92,14 @@ def register_tables(spark: SparkSession, datasets: Mapping[str, tuple[str, str]]
     return reduce(DataFrame.unionByName, listings)
 
 
+def drop_external(spark: SparkSession, name: str) -> None:
+    """Forget an external table, whose files stay; refuse a managed one, whose rows would be lost."""
+    if spark.catalog.tableExists(name):
+        if spark.catalog.getTable(name).tableType == "MANAGED":
+            raise ValueError(f"a managed table has this name: {name}")
+        spark.sql(f"DROP TABLE {name}")
+
+
 def union_versions(parts: Sequence[DataFrame]) -> DataFrame:
     """Stack files or batches whose columns differ; a missing column is NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -160,6 +160,11 @@ expect(
     f"""SELECT f.transaction_key, f.card_key, {big('f.date_key', 'date_key')}, f.status, c.card_type
     FROM fact_transactions f LEFT JOIN dim_cards c ON c.card_key = f.card_key""",
 )
+expect(
+    "fact_layout_skipping",
+    """SELECT count(*) AS rows_in_month, true AS most_files_skipped FROM fact_transactions
+    WHERE date_key BETWEEN 19970301 AND 19970331""",
+)
 
 
 def _constraint(table: str, kind: str, column: str, violations: str) -> str:

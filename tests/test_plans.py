@@ -173,16 +173,71 @@ def test_view_refuses_secret_columns(lake):
 
 
 def test_bucketed_join_needs_no_shuffle(lake):
-    path = fresh_path(lake.spark, "fact")
+    spark, path = lake.spark, fresh_path(lake.spark, "fact")
     fact = lake.star("fact_transactions").select("transaction_key", "card_key", "date_key", "status")
-    stored = warehouse.lay_out_fact(fact, "bucketed_fact", path, 4, ["date_key", "status"])
-    cards = warehouse.lay_out_fact(
-        lake.star("dim_cards").select("card_key", "org_id"), "bucketed_cards", fresh_path(lake.spark, "c"), 4, ["org_id"]
-    )
-    joined = stored.hint("merge").join(cards, "card_key")
+    stored = warehouse.lay_out_fact(fact, "bucketed_fact", path, ["date_key", "status"], buckets=4)
+    assert rows(stored) == rows(fact)
+    cards = lake.star("dim_cards").select("card_key", "org_id")
+    warehouse.lay_out_fact(cards, "bucketed_cards", fresh_path(spark, "c"), ["org_id"], buckets=4)
+    joined = spark.table("bucketed_fact").hint("merge").join(spark.table("bucketed_cards"), "card_key")
     assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
 
 
+def test_hot_and_missing_cards_stay_out_of_the_buckets(spark):
+    given = spark.range(3000).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 3 = 1 THEN NULL ELSE id END AS card_key", "id % 50 AS date_key"
+    )
+    stored = warehouse.lay_out_fact(given, "spread_fact", fresh_path(spark, "f"), ["date_key"], rows_per_bucket=500)
+    assert rows(stored) == rows(given)
+    assert spark.table("spread_fact").filter("card_key IS NULL OR card_key = 7").count() == 0
+    assert spark.table("spread_fact_spread").filter("card_key IS NULL OR card_key = 7").count() == 2000
+    numbers = spark.sql("DESCRIBE EXTENDED spread_fact").filter("col_name = 'Num Buckets'").first()
+    assert numbers["data_type"] == "6"
+
+
+def test_layout_refuses_a_managed_table(spark):
+    spark.range(3).selectExpr("id AS card_key", "id AS d").write.mode("overwrite").saveAsTable("kept_fact")
+    with pytest.raises(ValueError, match="managed"):
+        warehouse.lay_out_fact(spark.table("kept_fact"), "kept_fact", fresh_path(spark, "f"), ["d"])
+    assert spark.table("kept_fact").count() == 3
+
+
+def test_a_filter_skips_files_of_a_clustered_fact(spark):
+    fact = spark.range(20_000).selectExpr("id", "pmod(xxhash64(id), 1000) AS date_key", "id % 3 AS status")
+    stored = warehouse.cluster_fact(fact, fresh_path(spark, "c"), ["date_key", "status"], rows_per_file=1000)
+    found = warehouse.files_met(stored, "date_key", 100, 140).first()
+    assert found.files >= 15 and found.files_met <= 4
+    assert rows(stored) == rows(fact)
+
+
+def _wide_exchanges(df, column):
+    """Shuffles that carry a column which only whole rows have."""
+    text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    found, node = 0, ""
+    for line in text.split("\n"):
+        if line.startswith("("):
+            node = line
+        elif line.startswith("Input") and ") Exchange" in node and column in line:
+            found += 1
+    return found
+
+
+def test_facts_shuffle_whole_rows_once(lake):
+    spark = lake.spark
+    dims = [lake.star(d) for d in ("dim_cards", "dim_organizations", "dim_merchants")]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = warehouse.fact_transactions(lake.curated("transactions"), *dims)
+        assert _wide_exchanges(fact, "fee_amount") == 1
+        clearing = warehouse.fact_clearing(lake.curated("clearing"), lake.star("fact_transactions"))
+        assert _wide_exchanges(clearing, "gtv") == 1
+        assert rows(fact) == rows(lake.star("fact_transactions"))
+        assert rows(clearing) == rows(lake.star("fact_clearing"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 # The whole run -------------------------------------------------------------------------------
 
 
