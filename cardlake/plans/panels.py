@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardlake.functions import amounts, calendar, casting, text
 from cardlake.functions.amounts import count_where, percent_or_zero, rounded_sum
 from cardlake.operators.quantiles import exact_quantiles
+from cardlake.plans.curation import PARTITIONS
+from cardlake.sources.datasets import read_first
+from cardlake.sources.raw import read_raw
 
 MICROS_PER_HOUR = 3_600_000_000
 LONGEST_LAG_HOURS = 240
@@ -38,6 +41,36 @@ def light_clean(raw: DataFrame) -> DataFrame:
     )
 
 
+def light_cards(raw: DataFrame) -> DataFrame:
+    """Raw cards with the two codes that the panels count by cleaned."""
+    codes = ("card_type", "status")
+    return raw.select(*(text.code(F.col(c)).alias(c) if c in codes else F.col(c) for c in raw.columns))
+
+
+# What is cleaned of each source where no curated dataset exists.
+LIGHT = {"transactions": light_clean, "cards": light_cards, "orgs": lambda raw: raw}
+
+
+def load_source(spark: SparkSession, curated_root: str, raw_root: str, source: str) -> DataFrame:
+    """The curated dataset of a source if there is one, else its raw files, lightly cleaned.
+
+    Partition values of a curated dataset stay text, as they are in curation.
+    """
+
+    def fallback() -> DataFrame:
+        return LIGHT[source](read_raw(spark, raw_root, source))
+
+    found = read_first(spark, f"{curated_root}/{source}", None, fallback)
+    return found.select(
+        *(partition_text(c).alias(c) if c in PARTITIONS[source] else F.col(f"`{c}`") for c in found.columns)
+    )
+
+
+def partition_text(name: str) -> Column:
+    """A partition value as the text in the folder's name, of which reading made a number."""
+    return F.lpad(F.col(name).cast("string"), 2, "0") if name == "month" else F.col(name).cast("string")
+
+
 def kpis(transactions: DataFrame) -> DataFrame:
     status = F.col("status")
     settled, declined = count_where(status == "SETTLED"), count_where(status == "DECLINED")

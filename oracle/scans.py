@@ -1,5 +1,7 @@
 """Expected results of the source and sink queries."""
 
+import re
+
 from oracle.base import (
     DASH,
     dbl,
@@ -47,23 +49,58 @@ _TYPES = {
         ("created_at", "timestamp"), ("updated_at", "timestamp"), ("deleted_at", "string"),
         ("email_hash", "string"), ("phone_hash", "string"),
     ],
-    "raw_orgs": [(c, "string") for c in COLUMNS["orgs"]],
-    "raw_users": [(c, "string") for c in COLUMNS["users"]],
-}
-_FILLED = {
-    "curated_orgs": "2 * (SELECT count(*) FROM nation)",
-    "curated_users": "(SELECT count(*) FROM customer)",
-    "raw_orgs": "(SELECT count(*) FROM nation)",
-    "raw_users": "(SELECT count(*) FROM customer)",
 }
-# The table names below are text, not the common table expressions of the same name.
-from oracle.base import ORACLE  # noqa: E402
 
-ORACLE["register_catalog"] = " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{k}' AS column_type, "
-    f"{i}::BIGINT AS position, CAST({_FILLED[t]} AS BIGINT) AS table_rows"
-    for t, columns in _TYPES.items()
-    for i, (c, k) in enumerate(columns, 1)
+
+def _typed(source, kinds, more, partitions):
+    """Curated columns: those of the raw table, changed types, further columns, and partitions last."""
+    names = [re.sub(r"[\s_]+", "_", c).lower() for c in COLUMNS[source]]
+    return [(c, kinds.get(c, "string")) for c in [*names, *more] if c not in partitions]
+
+
+_MONEY = {c: "decimal(18,4)" for c in ("actual_amount", "billing_amount", "transaction_amount", "fee_amount")}
+_FEES = {c: "decimal(18,6)" for c in ("transaction_amount", "interchange_recon_fee_amount", "gtv")}
+_CLEARED = ["transaction_timestamp_utc", "capture_date_utc", "settlement_date_utc"]
+_PARTS = {"curated_transactions": ["year", "month"], "curated_clearing": ["period"], "curated_cards": ["card_type"]}
+_TYPES["curated_transactions"] = _typed(
+    "transactions",
+    _MONEY | {"usd_amount": "decimal(18,6)", "transaction_timestamp": "timestamp", "clearing_timestamp": "timestamp"},
+    ["merchant_normalized", "usd_amount"], _PARTS["curated_transactions"],
+)
+_TYPES["curated_clearing"] = _typed(
+    "clearing", _FEES | {c: "timestamp" for c in _CLEARED}, _CLEARED, _PARTS["curated_clearing"]
+)
+_TYPES["curated_cards"] = _typed(
+    "cards",
+    {"allow_atm": "boolean", "created_at": "timestamp", "updated_at": "timestamp"}
+    | {c: "date" for c in ("issue_date", "expiry_date", "active_since")},
+    [], _PARTS["curated_cards"],
+)
+for _source in COLUMNS:
+    _TYPES[f"raw_{_source}"] = [(c, "string") for c in COLUMNS[_source]]
+_FILLED = {f"raw_{s}": f"(SELECT count(*) FROM raw_{s})" for s in COLUMNS}
+_FILLED |= {f"curated_{s}": f"(SELECT count(*) FROM cur_{s})" for s in COLUMNS}
+_FILLED["curated_orgs"] = "2 * " + _FILLED["curated_orgs"]
+expect(
+    "register_catalog",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{k}' AS column_type, "
+        f"{i}::BIGINT AS position, {i > len(columns)} AS is_partition, "
+        f"{int(t == 'curated_orgs')}::BIGINT AS folders_read, CAST({_FILLED[t]} AS BIGINT) AS table_rows"
+        for t, columns in _TYPES.items()
+        for i, (c, k) in enumerate([*columns, *((p, "string") for p in _PARTS.get(t, ()))], 1)
+    ),
+)
+expect(
+    "scan_fallback_sources",
+    f"""SELECT 'raw' AS branch, 'transactions' AS source, id, concat_ws('|', {title_letters('trim(merchant)')},
+      CAST(year(paid) AS VARCHAR), lpad(CAST(month(paid) AS VARCHAR), 2, '0')) AS shown
+    FROM (SELECT *, TRY_CAST(transaction_timestamp AS TIMESTAMP) AS paid FROM raw_transactions)
+    UNION ALL SELECT 'raw', 'cards', id, concat_ws('|', upper(trim(card_type)), upper(trim(status))) FROM raw_cards
+    UNION ALL SELECT 'raw', 'orgs', id, concat_ws('|', business_name, country) FROM raw_orgs
+    UNION ALL SELECT 'curated', 'transactions', id, concat_ws('|', merchant_normalized, year, month) FROM cur_transactions
+    UNION ALL SELECT 'curated', 'cards', id, concat_ws('|', card_type, status) FROM cur_cards
+    UNION ALL SELECT 'curated', 'orgs', id, concat_ws('|', business_name, country) FROM cur_orgs""",
 )
 
 expect(
