@@ -13,7 +13,7 @@ from cardlake.functions import calendar
 from cardlake.operators.dedup import one_per_key, surplus_rows
 from cardlake.operators.joins import orphans
 from cardlake.operators.keys import dense_key, number_by_id
-from cardlake.operators.lookups import SHARE, frequent_hashes, key_hash, lookup
+from cardlake.operators.lookups import SHARE, frequent_hashes, is_broadcast, key_hash, lookup
 from cardlake.sources.datasets import drop_external, load_columns
 
 # Target column → curated column.
@@ -171,7 +171,8 @@ def resolve_keys(
     owners = cards.select("card_key", "card_id", "org_id").join(
         organizations.select("org_key", "org_id"), "org_id", "left"
     )
-    carded = lookup(transactions, owners, [("card_id", "card_id")], ["card_key", "org_key"])
+    small = is_broadcast(cards) and is_broadcast(organizations)
+    carded = lookup(transactions, owners, [("card_id", "card_id")], ["card_key", "org_key"], small=small)
     return lookup(carded, merchants, MERCHANT_PAIRS, ["merchant_key"], missing_matches=True).withColumn(
         "date_key", calendar.date_key(F.col("transaction_timestamp"))
     )
