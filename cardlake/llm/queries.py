@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardlake.llm import (
-    ann, audit, fingerprints, lm, neardup, packing, quality, resampling, secret_scan, sharding, spiece, substrings,
-    suffixes,
+    ann, audit, expected, fingerprints, lm, neardup, packing, quality, resampling, secret_scan, sharding, spiece,
+    substrings, suffixes,
 )
 from cardlake.llm.common import read
 
@@ -98,4 +98,9 @@ QUERIES = {
     "op12_importance_resampling": op12_importance_resampling,
     "op13_crf_secrets": op13_crf_secrets,
 }
-ORACLE: dict[str, str] = {"op11_source_divergence": audit.DIVERGENCE_SQL}
+ORACLE: dict[str, str] = {
+    "op3_bwt_merge_dedup": expected.BYTES_SQL,
+    "op7_countmin_substrings": expected.SUBSTRINGS_SQL,
+    "op8_setsketch_neardup": expected.NEAR_DUPLICATES_SQL,
+    "op11_source_divergence": audit.DIVERGENCE_SQL,
+}
