@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from cardlake.entries.lake import CALENDAR, query
 from cardlake.fixed_values import SOURCES
-from cardlake.operators import quality
+from cardlake.operators import quality, quality_states
 from cardlake.plans import curation, governance, marts, panels, pipeline
+from cardlake.sources.datasets import write_dataset
 from cardlake.sources.raw import write_raw
 
 
@@ -158,6 +162,34 @@ def dq_scorecard(lake):
     return card.unionByName(dropped)
 
 
+@query("dq_scorecard_over_time")
+def dq_scorecard_over_time(lake):
+    """The scorecard from states: after a first run the year 2000 arrives, and only its folder (and none
+    in a third run) is read."""
+    tables, root = staged(lake), lake.path("quality")
+    booked = {
+        "transactions": F.coalesce(F.year("transaction_timestamp").cast("string"), F.lit("none")),
+        "clearing": F.coalesce(F.year("transaction_timestamp_utc").cast("string"), F.lit("none")),
+        "cards": F.lit("all"),
+    }
+
+    def folders_read(name):
+        path, rows = f"{root}/{name}", tables[name].withColumn("booked", booked[name])
+        read = []
+        for arrived in (rows.filter("booked != '2000'"), rows.filter("booked = '2000'"), None):
+            if arrived is not None:
+                write_dataset(arrived, path, ["booked"], replace="touched")
+            read.append(quality_states.refresh(lake.spark, quality.RULES, name, path, rows.schema, f"{root}/states"))
+        return name, read
+
+    with ThreadPoolExecutor(len(booked)) as pool:
+        read = dict(pool.map(inheritable_thread_target(lake.spark)(folders_read), booked))
+    card = quality_states.merged(lake.spark, quality.RULES, tables, f"{root}/states")
+    counts = F.create_map(*(x for n, c in read.items() for x in (F.lit(n), F.array(*map(F.lit, c)))))
+    folders = F.element_at(counts, F.col("table_name"))
+    return card.withColumn("read_later", folders[1]).withColumn("read_again", folders[2])
+
+
 @query("dq_gate")
 def dq_gate(lake):
     return quality.gate_verdicts({"transactions": lake.curated("transactions")})

@@ -96,17 +96,15 @@ def _holds(rule: Rule) -> Column:
     raise ValueError(f"unknown kind of rule: {rule.kind}")
 
 
-def _counts(rule: Rule, tables: Mapping[str, DataFrame]) -> dict[str, Column]:
-    """Aggregates of a rule over its own table; orphans come as a scalar subquery."""
+def row_sums(rule: Rule) -> dict[str, Column]:
+    """Aggregates of a rule that add up over parts of its table: violations that single rows show (none for
+    uniqueness and references), rows left undecided and rows checked."""
     value = F.col(rule.column)
     applies = F.expr(rule.where) if rule.where else F.lit(True)
     if rule.kind == "unique":
-        violations, undecided = surplus_rows(value), F.lit(0)
+        violations, undecided = F.lit(0), F.lit(0)
     elif rule.kind == "reference":
-        parent, parent_key = rule.args
-        lost = orphans(tables[rule.table], tables[parent], rule.column, parent_key)
-        violations = lost.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("violations")).scalar()
-        undecided = F.count_if(F.isnull(value))
+        violations, undecided = F.lit(0), F.count_if(F.isnull(value))
     else:
         holds = _holds(rule)
         violations = F.count_if(applies & ~holds)
@@ -114,6 +112,18 @@ def _counts(rule: Rule, tables: Mapping[str, DataFrame]) -> dict[str, Column]:
     return {"violations": violations, "undecided": undecided, "checked": F.count_if(applies)}
 
 
+def _counts(rule: Rule, tables: Mapping[str, DataFrame]) -> dict[str, Column]:
+    """Aggregates of a rule over its own table; orphans come as a scalar subquery."""
+    counts = row_sums(rule)
+    if rule.kind == "unique":
+        counts["violations"] = surplus_rows(F.col(rule.column))
+    elif rule.kind == "reference":
+        parent, parent_key = rule.args
+        lost = orphans(tables[rule.table], tables[parent], rule.column, parent_key)
+        counts["violations"] = lost.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("violations")).scalar()
+    return counts
+
+
 def scorecard(rules: Sequence[Rule], tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per rule: violations, undecided rows (missing values), rows checked, verdict.
 

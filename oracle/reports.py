@@ -240,6 +240,15 @@ expect(
     "dq_scorecard",
     " UNION ALL ".join([*_rules("cur_transactions", "cur_clearing").values(), _DROPPED]),
 )
+_TYPED = " UNION ALL ".join(_rules("typed_transactions", "typed_clearing").values())
+expect(
+    "dq_scorecard_over_time",
+    f"""SELECT *, CASE table_name
+        WHEN 'transactions' THEN (SELECT count(*) > 0 FROM typed_transactions WHERE year(transaction_timestamp) = 2000)
+        WHEN 'clearing' THEN (SELECT count(*) > 0 FROM typed_clearing WHERE year(transaction_timestamp_utc) = 2000)
+        ELSE false END::BIGINT AS read_later, 0::BIGINT AS read_again
+      FROM ({_TYPED})""",
+)
 expect(
     "dq_gate",
     f"""with v AS (SELECT count(*) FILTER (card_id IS NULL) AS a,
