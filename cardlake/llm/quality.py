@@ -6,7 +6,8 @@ part of the normal equations; the sums are a matrix of fixed size, solved on the
 the learning rows fall into a fixed grid; pooling adjacent violators on the grid's counts makes them
 probabilities.
 
-Learning uses at most ``most_rows`` labelled rows (a documented bound, chosen by a hash of doc_id);
+Learning uses about ``most_rows`` labelled rows at most (where there are more, the share by a hash of doc_id
+that is expected to give as many);
 every text is scored. Cases: a null text is empty; labels that are null count as absent, several
 labels of one document count as their mean; without labels every score is 0.5, with one kind of
 label it is that label; repeated rows are scored each; a null doc_id is never learned from; an empty

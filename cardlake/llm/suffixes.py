@@ -1,7 +1,7 @@
 """Repeated byte strings found by merging Burrows-Wheeler transforms of shards.
 
 Which suffixes can share 100 bytes is settled first. Every 100-byte window belongs to the smallest
-50-byte gram in it; windows around one occurrence of it form a segment. Segments whose gram is
+40-byte gram in it; windows around one occurrence of it form a segment. Segments whose gram is
 counted once by a count-min sketch can't repeat. Equal segments collapse to one kind with its first
 place (thousands of copies are one row after map-side aggregation): all later copies are repeats. The
 kinds of grams that have several go to buckets. Where a gram has very many kinds, their windows are
