@@ -164,6 +164,12 @@ def dedup_by_key(lake):
     return dedup.one_per_key(rows, ["id"])
 
 
+@query("dedup_counted_first")
+def dedup_counted_first(lake):
+    rows = lake.raw("transactions").select("id", "card_id", "merchant", "billing_amount")
+    return dedup.one_per_key_counted(rows, ["id"])
+
+
 @query("agg_duplicates")
 def agg_duplicates(lake):
     rows = lake.raw("transactions")

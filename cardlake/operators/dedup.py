@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cardlake.sources.shared import settle
+
 
 def one_per_key(
     df: DataFrame, keys: Sequence[str], prefer: Sequence[Column] = ()
@@ -21,6 +25,24 @@ def one_per_key(
     return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
 
 
+def one_per_key_counted(
+    df: DataFrame, keys: Sequence[str], prefer: Sequence[Column] = ()
+) -> DataFrame:
+    """The rows of :func:`one_per_key`, for wide stored tables in which few keys are repeated.
+
+    Keys are counted first, without the other columns, and the repeated ones are written. Rows with a
+    key of their own are neither sorted nor, while Spark broadcasts the repeated keys by their size,
+    shuffled; only rows with a repeated key are ranked. ``df`` is read three times (once for the keys
+    alone), so a table that is costly to derive should be written before.
+    """
+    names = [f"_k{i}" for i in range(len(keys))]
+    counted = df.groupBy(*(F.col(k).alias(n) for k, n in zip(keys, names))).count()
+    repeated = settle(counted.filter("count > 1").select(*names), "repeated_keys")
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)))
+    alone = df.join(repeated, same, "left_anti")
+    return alone.unionByName(one_per_key(df.join(repeated, same, "left_semi"), keys, prefer))
+
+
 def duplicate_count(df: DataFrame, key: str) -> DataFrame:
     """Rows beyond the first of each key; a missing key counts as one value."""
     return df.agg(surplus_rows(F.col(key)).alias("duplicates"))

@@ -87,11 +87,12 @@ expect(
     f"""SELECT count(*) AS n, {dbl('sum(billing_amount)', 'total_aed')},
     {ts('max(transaction_timestamp)', 'last_seen')} FROM fact_transactions""",
 )
-expect(
-    "dedup_by_key",
-    """SELECT id, card_id, merchant, billing_amount FROM raw_transactions
-    QUALIFY row_number() OVER (PARTITION BY id ORDER BY card_id NULLS FIRST, merchant, billing_amount) = 1""",
-)
+for _key in ("dedup_by_key", "dedup_counted_first"):
+    expect(
+        _key,
+        """SELECT id, card_id, merchant, billing_amount FROM raw_transactions
+        QUALIFY row_number() OVER (PARTITION BY id ORDER BY card_id NULLS FIRST, merchant, billing_amount) = 1""",
+    )
 expect(
     "agg_duplicates",
     """SELECT 'id' AS key, count(*) - count(DISTINCT id) AS duplicates FROM raw_transactions
