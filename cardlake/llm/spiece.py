@@ -4,12 +4,13 @@ The model protobuf is read field by field. From it come the normaliser (characte
 metaspace marker), the pieces with their scores, and byte fallback; a unigram model keeps its scores, in
 a BPE model the merge that makes a piece ranks by that piece's score. Where no piece holds a marker
 behind another character, a text may be cut before each run of markers; parts are encoded once per
-worker, in multithreaded batches, and remembered. Parity with the sentencepiece library is checked on
-every whole text, the round trip on every part.
+worker, in multithreaded batches, and remembered. Parity with the sentencepiece library and the round trip
+(the decoded ids against the text) are checked on every whole text.
 
 Cases: a null or empty text has no tokens; unknown characters become their bytes, or the unknown piece
-where a model has no bytes; control pieces spelled out in a text are ordinary characters; repeated
-rows are encoded each; an empty table gives no rows; other columns are ignored.
+where a model has no bytes; control pieces spelled out in a text are ordinary characters; a text that
+holds the marker itself, or that the normaliser changes, does not come back as it was (round_trip false);
+very long texts are encoded whole, in parts; repeated rows are encoded each; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -95,22 +96,27 @@ class PieceModel:
         inner = re.compile(f"[^{MARK}]{MARK}")
         words = [p for p, _, kind in self.pieces if kind in (_NORMAL, _USER)]
         self.cuts = self.escape and not any(inner.search(p) for p in words)
-        self._bytes = [
+        own_bytes = [
             bytes([int(p[3:5], 16)]) if kind == _BYTE else p.encode() for p, _, kind in self.pieces
         ]
+        self._spelled = [
+            b"" if kind == _CONTROL else b" \xe2\x81\x87 " if kind == _UNKNOWN else own
+            for (_, _, kind), own in zip(self.pieces, own_bytes)
+        ]
         self.known: dict[str, bytes] = {}
-        self.lossy: set[str] = set()
 
     def _build_normalizer(self, chars_map: bytes):
         from tokenizers import Regex, normalizers
 
         steps = [normalizers.Precompiled(chars_map)] if chars_map else []
         if self.squash:
-            steps += [normalizers.Strip(), normalizers.Replace(Regex(" {2,}"), " ")]
+            steps += [normalizers.Replace(Regex("\\A +"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
         if self.prefix:
             steps.append(normalizers.Prepend(" "))
         if self.escape:
             steps.append(normalizers.Replace(" ", MARK))
+        if self.squash:  # markers of the text itself go as well
+            steps.append(normalizers.Replace(Regex(f"{MARK if self.escape else ' '}+\\z"), ""))
         return normalizers.Sequence(steps)
 
     def _build_model(self):
@@ -156,8 +162,8 @@ class PieceModel:
         first, *rest = text.split(MARK)
         return ([first] if first else []) + [MARK + part for part in rest]
 
-    def encode(self, texts: list[str]) -> list[tuple[bytes, bool]]:
-        """For each text its ids (unsigned 32-bit, little-endian) and whether its parts decode to it."""
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """For each text its ids (unsigned 32-bit, little-endian)."""
         if len(self.known) > ROOM:  # short parts come often
             self.known = {part: self.known[part] for part in sorted(self.known, key=len)[: ROOM // 2]}
         quick, split, unknown = self.plain and self.cuts, [], set()
@@ -173,21 +179,22 @@ class PieceModel:
         for at in range(0, len(fresh), 20_000):
             some = fresh[at : at + 20_000]
             parts = [p[1:] if p[:1] == "\ud800" else MARK + p for p in some]
-            for key, part, found in zip(some, parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)):
-                ids = found.ids
-                self.known[key] = array("I", ids).tobytes()
-                if b"".join(map(self._bytes.__getitem__, ids)) != part.encode():
-                    self.lossy.add(key)
-        known, lossy = self.known.__getitem__, self.lossy
-        return [(b"".join(map(known, p)), not (lossy and any(x in lossy for x in p))) for p in split]
+            for key, found in zip(some, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)):
+                self.known[key] = array("I", found.ids).tobytes()
+        known = self.known.__getitem__
+        return [b"".join(map(known, p)) for p in split]
 
     def decode(self, ids) -> str:
         """The text of ids; control pieces are silent, the marker is a blank, the dummy prefix goes."""
-        kept = [i for i in ids if self.pieces[i][2] != _CONTROL]
-        data = b"".join(b" \xe2\x81\x87 " if i == self.unknown else self._bytes[i] for i in kept)
-        text = data.decode("utf-8", "replace")
+        spelled = list(map(self._spelled.__getitem__, ids))
+        if self.squash:  # each piece gives up a leading marker until one has text
+            for at, piece in enumerate(spelled):
+                spelled[at] = piece.removeprefix(MARK.encode())
+                if spelled[at]:
+                    break
+        text = b"".join(spelled).decode("utf-8", "replace")
         text = text.replace(MARK, " ") if self.escape else text
-        return text[1:] if self.prefix and text.startswith(" ") else text
+        return text[1:] if self.prefix and not self.squash and text.startswith(" ") else text
 
 
 _loaded: dict[str, tuple] = {}
@@ -204,7 +211,7 @@ def _backends(path: str):
 
 
 def encode_documents(docs: DataFrame, model_path: str, with_ids: bool = True) -> DataFrame:
-    """doc_id, n_tokens, ids_crc32, same (as the sentencepiece library), round_trip, and ids."""
+    """doc_id, n_tokens, ids_crc32, same (as the sentencepiece library), round_trip (decoded: the text), and ids."""
     ship_code(docs.sparkSession)
     names = ["doc_id", "n_tokens", "ids_crc32", "same", "round_trip", "ids"][: 6 if with_ids else 5]
 
@@ -214,9 +221,10 @@ def encode_documents(docs: DataFrame, model_path: str, with_ids: bool = True) ->
             ids, texts, out = batch["doc_id"].tolist(), batch["text"].tolist(), []
             for a, b in chunks(texts):
                 theirs = other.encode(texts[a:b], num_threads=1)
-                for doc_id, (raw, exact), check in zip(ids[a:b], model.encode(texts[a:b]), theirs):
+                for doc_id, text, raw, check in zip(ids[a:b], texts[a:b], model.encode(texts[a:b]), theirs):
                     same = array("I", check).tobytes() == raw
-                    out.append((doc_id, len(raw) // 4, zlib.crc32(raw), same, exact, raw)[: len(names)])
+                    back = model.decode(check if same else array("I", raw)) == text
+                    out.append((doc_id, len(raw) // 4, zlib.crc32(raw), same, back, raw)[: len(names)])
             frame = pd.DataFrame(out, columns=names)
             frame["doc_id"] = frame["doc_id"].astype("Int64")
             yield frame
