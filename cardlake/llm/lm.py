@@ -5,7 +5,9 @@ buckets, and other tasks merge one bucket each and write it as a sorted array to
 its final name in one step, so that a repeated task replaces its own work). Words are cut by their
 hash, pairs by the hash of the pair, so a very common word or context is spread over all buckets.
 Scoring tasks map the arrays into memory and look up sorted distinct words and pairs of a few million
-tokens at a time. The driver sees totals and one row per bucket.
+tokens at a time. Statistics of words go by ranges of neighbouring word buckets, sized by what the pair buckets
+can send for their words (a word sends one entry for each pair bucket at most). The driver sees totals and
+one row per bucket or range. Words are numbered in 32 bits; a vocabulary beyond that raises an error.
 
 P(v|u) = max(c(uv) - D(c), 0) / c(u) + g(u) P(v), where P(v) rests on the number of different contexts
 of v, discounted likewise and interpolated with 1 / (V + 1); discounts come from the counts of counts.
@@ -34,6 +36,7 @@ from cardlake.sources.shared import fresh_path
 
 CHUNK = 1_000_000  # tokens handled together in a task
 BUCKET = 4_000_000  # tokens per bucket of words or pairs
+RANGE = 2_000_000  # statistics of words that one task adds up, as far as pair buckets can send them
 END = np.uint64(0x0E0D0C0B0A090807)
 _M1 = np.uint64(pow(0xFF51AFD7ED558CCD, -1, 1 << 64))
 _M2 = np.uint64(pow(0xC4CEB9FE1A85EC53, -1, 1 << 64))
@@ -127,6 +130,22 @@ def _chunks(batches, columns):
         yield rows, np.concatenate(hashes), np.array([len(h) for h in hashes])
 
 
+def _smallest(counts: np.ndarray) -> np.ndarray:
+    """Counts in 32 bits, or in 64 where one of them needs them."""
+    return counts.astype(np.uint32 if not len(counts) or counts.max() < 1 << 32 else np.uint64)
+
+
+def range_edges(offsets: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Word numbers at which ranges of whole buckets begin, and the end: each has at most RANGE or is one bucket."""
+    edges, held = [0], 0
+    for b, weight in enumerate(weights.tolist()):
+        if held and held + weight > RANGE:
+            edges.append(int(offsets[b]))
+            held = 0
+        held += weight
+    return np.array([*edges, int(offsets[-1])], dtype=np.int64)
+
+
 def _distinct(values: np.ndarray):
     """Sorted distinct values, and for each value its place among them."""
     order = np.argsort(values)
@@ -175,6 +194,7 @@ class Model:
         self.store, self.bits = Store(folder), bits
         self.words, self.pairs = set(), set()  # buckets that exist
         self.offsets = np.zeros((1 << bits) + 1, dtype=np.int64)
+        self.edges = np.zeros(2, dtype=np.int64)  # of the ranges of words
         self.tokens = self.vocabulary = self.texts = self.kinds = 0
         self.pair_cut = self.word_cut = np.zeros(4)
         self.start_rest = self.word_rest = 0.0
@@ -198,7 +218,9 @@ class Model:
         ranked, which = _distinct(hashes)
         number, bucket, place = self.ids(ranked)
         count = self._gather("counts", bucket, place)
-        kinds, *n = (self._gather("stats", bucket, place, r) for r in range(4))
+        span = np.searchsorted(self.edges[1:-1], number, side="right")
+        inside = np.where(number >= 0, number - self.edges[span], -1)
+        kinds, *n = (self._gather("stats", span, inside, r) for r in range(4))
         word = np.full(len(ranked), 1.0 / (self.vocabulary + 1))
         rest = np.zeros(len(ranked))
         if self.kinds:
@@ -256,21 +278,25 @@ def fit(texts: DataFrame) -> Model:
         b = int(group["bucket"].iloc[0])
         store.save(f"words{b}", ranked)
         store.save(f"counts{b}", counts)
-        return pd.DataFrame({"bucket": [b], "n": [len(ranked)], "total": [int(counts.sum())]})
+        weight = int(np.minimum(counts, 1 << bits).sum())
+        return pd.DataFrame({"bucket": [b], "n": [len(ranked)], "total": [int(counts.sum())], "weight": [weight]})
 
     part = "bucket int, keys binary, counts binary"
     words = settle(
         texts.select("text").mapInPandas(count_words, part).groupBy("bucket").applyInPandas(
-            keep_words, "bucket int, n bigint, total bigint"
+            keep_words, "bucket int, n bigint, total bigint, weight bigint"
         ), "lm_words",
     ).collect()
-    sizes = np.zeros(1 << bits, dtype=np.int64)
+    sizes, weights = np.zeros((2, 1 << bits), dtype=np.int64)
     for r in words:
-        sizes[r["bucket"]] = r["n"]
+        sizes[r["bucket"]], weights[r["bucket"]] = r["n"], r["weight"]
         model.tokens += r["total"]
     model.words = {r["bucket"] for r in words}
     model.offsets = np.concatenate(([0], np.cumsum(sizes)))
     model.vocabulary = int(model.offsets[-1])
+    if model.vocabulary + 1 >= 1 << 32:
+        raise ValueError(f"{model.vocabulary} different words do not fit 32-bit numbers")
+    model.edges = range_edges(model.offsets, weights)
     model.texts = texts.count()
     if not model.vocabulary:
         return model
@@ -288,11 +314,13 @@ def fit(texts: DataFrame) -> Model:
                 columns=["bucket", "keys", "counts"],
             )
 
+    edges = np.append(model.edges, model.vocabulary + 1)  # the start of a text has a range of its own
+
     def keep_pairs(group):
         keys, counts = _merge(group, "uint32")
         b = int(group["bucket"].iloc[0])
         store.save(f"pairs{b}", keys)
-        store.save(f"paircounts{b}", counts.astype(np.uint32))
+        store.save(f"paircounts{b}", _smallest(counts))
         pair = unmix64(keys)
         v, kinds = collapse_sorted(pair & np.uint64(0xFFFFFFFF))
         order = np.argsort(pair >> np.uint64(32))
@@ -301,7 +329,6 @@ def fit(texts: DataFrame) -> Model:
         at = np.searchsorted(ordered, u)
         n = [np.add.reduceat((c == i).astype(np.int64), at) for i in (1, 2, 3)]
         rows = [(-1, b, [], [int((counts == i).sum()) for i in (1, 2, 3, 4)])]
-        edges = np.append(model.offsets, model.vocabulary + 1)  # the start of a text has a place of its own
         vs, us = np.searchsorted(v, edges), np.searchsorted(u, edges)
         for w in range(len(edges) - 1):
             x, y, s, t = vs[w], vs[w + 1], us[w], us[w + 1]
@@ -313,20 +340,20 @@ def fit(texts: DataFrame) -> Model:
                 *(_squeeze(k[s:t].astype(np.uint32)) for k in n),
             ]
             rows.append((w, b, parts, []))
-        return pd.DataFrame(rows, columns=["word_bucket", "bucket", "parts", "numbers"])
+        return pd.DataFrame(rows, columns=["span", "bucket", "parts", "numbers"])
 
     pairs = settle(
         texts.select("text").mapInPandas(count_pairs, part).groupBy("bucket").applyInPandas(
-            keep_pairs, "word_bucket int, bucket int, parts array<binary>, numbers array<bigint>"
+            keep_pairs, "span int, bucket int, parts array<binary>, numbers array<bigint>"
         ), "lm_pairs",
     )
-    totals = pairs.filter("word_bucket = -1").collect()
+    totals = pairs.filter("span = -1").collect()
     model.pairs = {r["bucket"] for r in totals}
     model.pair_cut = _discounts(np.sum([r["numbers"] for r in totals], axis=0).tolist())
-    lengths = np.append(sizes, 1)
+    lengths = np.diff(edges)
 
     def keep_stats(group):
-        w = int(group["word_bucket"].iloc[0])
+        w = int(group["span"].iloc[0])
         table = np.zeros((4, lengths[w]), dtype=np.uint32)
         for parts in group["parts"]:
             v, u = _expand(parts[0], "uint32", True), _expand(parts[2], "uint32", True)
@@ -336,16 +363,17 @@ def fit(texts: DataFrame) -> Model:
         store.save(f"stats{w}", table)
         kinds = [int((table[0] == i).sum()) for i in (1, 2, 3, 4)]
         numbers = [*kinds, int((table[0] > 2).sum()), int(table[0].sum()), *table[1:, 0].tolist()]
-        return pd.DataFrame({"word_bucket": [w], "numbers": [numbers]})
+        return pd.DataFrame({"span": [w], "numbers": [numbers]})
 
     stats = settle(
-        pairs.filter("word_bucket >= 0").groupBy("word_bucket").applyInPandas(
-            keep_stats, "word_bucket int, numbers array<bigint>"
+        pairs.filter("span >= 0").groupBy("span").applyInPandas(
+            keep_stats, "span int, numbers array<bigint>"
         ), "lm_stats",
     ).collect()
-    start = next(r["numbers"] for r in stats if r["word_bucket"] == 1 << bits)
+    last = len(lengths) - 1
+    start = next(r["numbers"] for r in stats if r["span"] == last)
     model.start_rest = float(model.pair_cut[1:] @ np.array(start[6:9], dtype=float)) / model.texts
-    sums = np.sum([r["numbers"][:6] for r in stats if r["word_bucket"] < 1 << bits], axis=0)
+    sums = np.sum([r["numbers"][:6] for r in stats if r["span"] < last], axis=0)
     model.kinds = int(sums[5])
     model.word_cut = _discounts(sums[:4].tolist())
     model.word_rest = float(model.word_cut[1:] @ np.array([sums[0], sums[1], sums[4]], dtype=float)) / model.kinds

@@ -270,7 +270,10 @@ def test_sentencepiece(docs, nothing):
     assert spiece.encode_documents(nothing, PIECES).count() == 0
 
 
-def test_kneser_ney(docs, nothing):
+@pytest.mark.parametrize("most", [lm.RANGE, 1])
+def test_kneser_ney(docs, nothing, monkeypatch, most):
+    monkeypatch.setattr(lm, "RANGE", most)  # one range of words, or one for each bucket
+    monkeypatch.setattr(lm, "BUCKET", lm.BUCKET if most > 1 else 500)
     texts = [(i, split_words(fold(t)) + ["</>"]) for i, t, *_ in corpus()]
     learn = [t for i, t in texts if zlib.crc32(str(i).encode()) % 10]
     one = Counter(w for t in learn for w in t)
@@ -303,6 +306,15 @@ def test_kneser_ney(docs, nothing):
     assert lm.score_documents(nothing).count() == 0
 
 
+def test_ranges_of_words():
+    offsets = np.array([0, 3, 3, 10, 30])
+    weights = np.array([5, 0, lm.RANGE, 7])
+    assert lm.range_edges(offsets, weights).tolist() == [0, 3, 10, 30]
+    assert lm.range_edges(offsets, weights * 0).tolist() == [0, 30]
+    assert lm._smallest(np.array([1, 1 << 32])).tolist() == [1, 1 << 32]
+    assert lm._smallest(np.array([7])).dtype == np.uint32
+
+
 def test_nearest(spark):
     rnd = np.random.default_rng(1)
     rows = [(i, [float(x) for x in rnd.normal(size=8)], "x") for i in range(400)]
