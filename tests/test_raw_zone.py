@@ -2,9 +2,10 @@
 
 import os
 
+from cardlake.operators import dedup, layout, lookups
 from cardlake.plans import curation
-from cardlake.sources import raw
-from cardlake.sources.sample_raw import COLUMNS, ROWS_PER_TASK, join_tasks
+from cardlake.sources import datasets, raw
+from cardlake.sources.sample_raw import COLUMNS, ROWS_PER_TASK, join_tasks, sample_raw
 from cardlake.sources.shared import fresh_path
 from cardlake.streaming import ingest
 
@@ -55,3 +56,60 @@ def test_joins_of_raw_rows_are_sized_by_rows(spark):
     fewest = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert join_tasks(spark, 0) == fewest
     assert join_tasks(spark, 1000 * ROWS_PER_TASK + 1) == 1001
+
+
+def wide_shuffles(df):
+    """Columns of each shuffle, in their order."""
+    text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    blocks = [b for b in text.split("\n\n") if ") Exchange" in b.split("\n")[0]]
+    inputs = [next(line for line in b.split("\n") if line.startswith("Input")) for b in blocks]
+    return [[c.split("#")[0].strip() for c in i.split(": [", 1)[1].rstrip("]").split(",")] for i in inputs]
+
+
+def test_varying_texts_are_shuffled_last(spark):
+    types = "k string, t string, n bigint, s string, d decimal(18,4), wide decimal(30,2), `a.b` date"
+    given = spark.createDataFrame([("x", "long", 1, None, None, None, None), ("x", "l", 1, "", None, None, None)], types)
+    moved = layout.narrow_first(given, ["t", "k", "n", "absent"])
+    assert moved.columns == ["n", "d", "a.b", "s", "wide", "t", "k"]
+    plain = given.drop("a.b")
+    unique = dedup.one_per_key(plain, ["k"], varying=["t"])
+    assert unique.columns == plain.columns
+    assert [s[:6] for s in wide_shuffles(unique)] == [["n", "d", "s", "wide", "t", "k"]]
+    assert [tuple(r) for r in unique.collect()] == [("x", "l", 1, "", None, None)]
+
+
+def test_columns_that_follow_are_not_shuffled_into_folders(spark, monkeypatch):
+    """The written rows are those of the plain curation, and no shuffle carries what follows from a row."""
+    plans = []
+
+    def recorded(df, path, partition_by=(), varying=(), finish=None):
+        dealt = layout.narrow_first(df, varying).hint("rebalance", *partition_by).select(*layout.quoted(df.columns))
+        plans.append(wide_shuffles(finish(dealt)))
+        return datasets.write_counted(df, path, partition_by, varying=varying, finish=finish)
+
+    monkeypatch.setattr(curation, "write_counted", recorded)
+    late = {"transactions": {"merchant_normalized", "usd_amount"}, "clearing": {"capture_date_utc", "settlement_date_utc"}}
+    for source, added in late.items():
+        raw = sample_raw(spark, "/root/testdata/sf0.001", source)
+        written, count = curation.write_curated(source, raw, fresh_path(spark, source))
+        plain = curation.CURATE[source](raw)
+        assert written.dtypes == plain.dtypes and count == plain.count()
+        assert written.exceptAll(plain).isEmpty() and plain.exceptAll(written).isEmpty()
+        assert plans and not any(added & set(columns) for columns in plans.pop())
+
+
+def test_small_owners_are_broadcast_before_rows_are_shuffled(spark):
+    """Spark can't tell the size of a join and shuffled the rows first."""
+    root = fresh_path(spark, "dims")
+    frames = {
+        "rows": ([("t1", "c1"), ("t2", None), ("t3", "c9")], "id string, card_id string"),
+        "cards": ([(1, "c1", "o1"), (2, "c2", None)], "card_key bigint, card_id string, org_id string"),
+        "orgs": ([(7, "o1")], "org_key bigint, org_id string"),
+    }
+    for name, (rows, types) in frames.items():
+        spark.createDataFrame(rows, types).write.parquet(f"{root}/{name}")
+    rows, cards, orgs = (spark.read.parquet(f"{root}/{n}") for n in frames)
+    owners = cards.join(orgs, "org_id", "left")
+    found = lookups.lookup(rows, owners, [("card_id", "card_id")], ["card_key", "org_key"], small=True)
+    assert not any("id" in columns for columns in wide_shuffles(found))
+    assert sorted(map(tuple, found.collect())) == [("t1", "c1", 1, 7), ("t2", None, None, None), ("t3", "c9", None, None)]
