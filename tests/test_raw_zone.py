@@ -93,6 +93,7 @@ def test_columns_that_follow_are_not_shuffled_into_folders(spark, monkeypatch):
         raw = sample_raw(spark, "/root/testdata/sf0.001", source)
         written, count = curation.write_curated(source, raw, fresh_path(spark, source))
         plain = curation.CURATE[source](raw)
+        written = written.select(plain.columns)  # reading puts the folders' columns last
         assert written.dtypes == plain.dtypes and count == plain.count()
         assert written.exceptAll(plain).isEmpty() and plain.exceptAll(written).isEmpty()
         assert plans and not any(added & set(columns) for columns in plans.pop())
