@@ -2,6 +2,8 @@
 
 import os
 
+from cardlake.entries import scans  # noqa: F401
+from cardlake.entries.lake import QUERIES, Lake
 from cardlake.operators import dedup, layout, lookups
 from cardlake.plans import curation
 from cardlake.sources import datasets, raw
@@ -114,3 +116,38 @@ def test_small_owners_are_broadcast_before_rows_are_shuffled(spark):
     found = lookups.lookup(rows, owners, [("card_id", "card_id")], ["card_key", "org_key"], small=True)
     assert not any("id" in columns for columns in wide_shuffles(found))
     assert sorted(map(tuple, found.collect())) == [("t1", "c1", 1, 7), ("t2", None, None, None), ("t3", "c9", None, None)]
+
+
+def test_rows_that_lie_in_folders_are_written_again_without_a_shuffle(spark):
+    rows = [(i, "a" if i < 900 else None if i < 950 else f"b{i % 7}") for i in range(1000)] * 2
+    given = spark.createDataFrame(rows, "id bigint, kind string").repartition(8)
+    first = datasets.write_dataset(given, fresh_path(spark, "first"), ["kind"])
+    group, path = "rewritten", fresh_path(spark, "second")
+    spark.sparkContext.setJobGroup(group, group)
+    again = datasets.write_dataset(first, path, ["kind"], dealt=True)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    track = spark.sparkContext.statusTracker()
+    assert [len(track.getJobInfo(j).stageIds) for j in track.getJobIdsForGroup(group)] == [1]
+    assert sorted(map(tuple, again.collect()), key=str) == sorted(rows, key=str)
+    assert len(again.inputFiles()) <= len(first.inputFiles())
+    assert {f.split("/")[-2] for f in again.inputFiles()} == {f.split("/")[-2] for f in first.inputFiles()}
+
+
+def test_layout_of_curated_tables_is_kept_by_their_sink(spark, monkeypatch):
+    lake, plain, calls = Lake(spark, "/root/testdata/sf0.001"), datasets.write_dataset, []
+
+    def recorded(df, path, partition_by=(), **how):
+        calls.append((df.inputFiles(), list(partition_by), how))
+        return plain(df, path, partition_by, **how)
+
+    curated = {s: lake.curated(s) for s in ("cards", "clearing", "transactions")}
+    monkeypatch.setattr(datasets, "write_dataset", recorded)
+    got = QUERIES["sink_partition_one"](lake)
+    QUERIES["sink_partition_year_month"](lake)
+    assert [by for _, by, _ in calls] == [["card_type"], ["period"], *[["year", "month"]] * 2]
+    for files, by, how in calls:
+        assert how["dealt"] and files and all(f"/{column}=" in f for f in files for column in by)
+    want = curated["cards"].selectExpr("'cards'", "card_type", "id").union(
+        curated["clearing"].selectExpr("'clearing'", "period", "transaction_id")
+    )
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
