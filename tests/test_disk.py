@@ -141,3 +141,16 @@ def test_arriving_batches_leave_the_table_alone(spark):
     assert sorted(map(str, got.select(*expected.columns).collect())) == sorted(map(str, expected.collect()))
     wide = {f for f in left_soon(spark, files, 3) if os.path.getsize(f) > 20_000}
     assert not wide
+
+
+def test_catalogue_copies_folders_without_a_shuffle(spark, monkeypatch):
+    made, how = lake(spark, monkeypatch), []
+    write = datasets.write_dataset
+    monkeypatch.setattr(scans.datasets, "write_dataset", lambda *a, **k: (how.append(k.get("dealt")), write(*a, **k))[1])
+    monkeypatch.setattr(scans.catalog, "crawl", lambda spark, tables, state: spark.createDataFrame(
+        [(t,) for t in tables], "table_name string"))
+    monkeypatch.setattr(spark, "table", lambda name: spark.range(1))
+    before = settled(spark)
+    assert QUERIES["register_catalog"](made).count() == 10
+    assert how == [None, True] * 5  # curated, then copied
+    assert "unique_rows" not in labels(spark, before)
