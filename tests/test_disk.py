@@ -154,3 +154,11 @@ def test_catalogue_copies_folders_without_a_shuffle(spark, monkeypatch):
     assert QUERIES["register_catalog"](made).count() == 10
     assert how == [None, True] * 5  # curated, then copied
     assert "unique_rows" not in labels(spark, before)
+
+
+def test_star_tables_leave_nothing_settled(spark, monkeypatch):
+    made, before = lake(spark, monkeypatch), settled(spark)
+    found = {(r.table_name, r.kind, r.column_name): r.violations for r in QUERIES["warehouse_constraints"](made).collect()}
+    assert len(found) == 20 and found["fact_transactions", "not_null", "card_key"] == 2
+    names = {"dim_organizations", "dim_users", "dim_cards", "dim_merchants", "dim_dates", "fact_transactions", "fact_clearing"}
+    assert labels(spark, before) == names | {"orgs", "users", "cards", "transactions", "clearing"}
