@@ -162,3 +162,22 @@ def test_star_tables_leave_nothing_settled(spark, monkeypatch):
     assert len(found) == 20 and found["fact_transactions", "not_null", "card_key"] == 2
     names = {"dim_organizations", "dim_users", "dim_cards", "dim_merchants", "dim_dates", "fact_transactions", "fact_clearing"}
     assert labels(spark, before) == names | {"orgs", "users", "cards", "transactions", "clearing"}
+
+
+def test_a_run_leaves_nothing_settled_and_curates_in_turn(spark, monkeypatch):
+    made, before, open_now, most = lake(spark, monkeypatch), settled(spark), [], []
+    write = pipeline.write_curated
+
+    def noted(source, raw, path):
+        open_now.append(source)
+        most.append(len(open_now))
+        time.sleep(0.5)
+        done = write(source, raw, path)
+        open_now.remove(source)
+        return done
+
+    monkeypatch.setattr(pipeline, "write_curated", noted)
+    steps = {r.step: r.rows for r in QUERIES["pipeline_run"](made).collect()}
+    assert len(steps) == 12 and steps["curate_transactions"] == 3 and steps["load_fact_clearing"] == 2
+    assert most == [1] * 5
+    assert labels(spark, before) == {"raw", "run"}
