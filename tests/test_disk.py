@@ -181,3 +181,21 @@ def test_a_run_leaves_nothing_settled_and_curates_in_turn(spark, monkeypatch):
     assert len(steps) == 12 and steps["curate_transactions"] == 3 and steps["load_fact_clearing"] == 2
     assert most == [1] * 5
     assert labels(spark, before) == {"raw", "run"}
+
+
+def test_the_scorecard_over_time_writes_one_table_at_a_time(spark, monkeypatch):
+    made, open_now, most = lake(spark, monkeypatch), [], []
+    write = reports.write_dataset
+
+    def noted(*given, **how):
+        open_now.append(1)
+        most.append(len(open_now))
+        time.sleep(0.3)
+        done = write(*given, **how)
+        open_now.pop()
+        return done
+
+    monkeypatch.setattr(reports, "write_dataset", noted)
+    card = {r.rule: r for r in QUERIES["dq_scorecard_over_time"](made).collect()}
+    assert card["transactions_no_duplicate_ids"].violations == 1 and card["transactions_no_duplicate_ids"].checked == 4
+    assert most == [1] * 6
