@@ -76,6 +76,30 @@ def test_fingerprints_and_likeness(spark, texts):
         assert got[i].near_next == pytest.approx(likeness(sketch(text), sketch(following)))
 
 
+def jaccard(a, b):
+    a, b = ({(h % (1 << 64)) >> 33 for _, h in anchors(t)} for t in (a, b))
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def test_all_anchors_are_compared(spark, texts):
+    """A difference that lies beyond the 64 smallest hashes shows in the likeness of the whole sets."""
+    words = texts[9].split()
+    base = sketch(texts[9])
+    # one word more: the two long texts share their fingerprint, not their anchors
+    close = next(t for w in range(1000) if sketch(t := " ".join([*words, f"new{w}"])) == base and jaccard(t, texts[9]) < 1)
+    rows = [*texts, close, texts[9]]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: r for r in fingerprints.compare_with_next(docs).collect()}
+    last = got[len(rows) - 1]
+    assert last.near_next == 1.0 and 0 < last.all_next < 1
+    for i, text in enumerate(rows):
+        text, following = text or "", rows[i - 1] or ""
+        cut = len(text) // 3
+        assert got[i].n_anchors == len({(h % (1 << 64)) >> 33 for _, h in anchors(text)})
+        assert got[i].all_edited == pytest.approx(jaccard(text, text[: len(text) - cut] + following[:cut]))
+        assert got[i].all_next == pytest.approx(jaccard(text, following))
+
+
 def test_texts_are_shuffled_once(spark, texts, monkeypatch):
     """Both joins of the texts use one shuffle: no column may stand in one of them alone."""
     docs = spark.createDataFrame(list(enumerate(texts)) * 2, "doc_id bigint, text string").repartition(3)
